@@ -76,22 +76,27 @@ def _all_hold(rules) -> Column:
     return reduce(lambda left, right: left & right, (rule.holds for rule in rules), F.lit(True))
 
 
+def _dropping(rules) -> list[Expectation]:
+    return [rule for rule in rules if rule.action == DROP]
+
+
 def keep(df: DataFrame, rules) -> DataFrame:
     """Rows that violate no DROP rule."""
-    dropping = [rule for rule in rules if rule.action == DROP]
-    return df.where(_all_hold(dropping)) if dropping else df
+    return df.where(_all_hold(_dropping(rules)))
 
 
 def apply(df: DataFrame, table: str, rules) -> tuple[DataFrame, Observation]:
     """Filtered rows plus an observation of the counts before filtering.
 
-    One pass: the counts are collected by the job that writes the result and
+    One pass: the counts (``input_records``, ``dropped_records`` and the
+    violations per rule) are collected by the job that writes the result and
     are available once it has run. Pass both to ``sinks.publish``, which raises
     on FAIL violations before anything becomes visible.
     """
     observation = Observation(table)
     counts = [F.count_if(~rule.holds).alias(rule.name) for rule in rules]
-    observed = df.observe(observation, F.count(F.lit(1)).alias("input_records"), *counts)
+    dropped = F.count_if(~_all_hold(_dropping(rules))).alias("dropped_records")
+    observed = df.observe(observation, F.count(F.lit(1)).alias("input_records"), dropped, *counts)
     return keep(observed, rules), observation
 
 
@@ -118,6 +123,5 @@ def results(df: DataFrame, table: str, rules) -> DataFrame:
 
 def violations(df: DataFrame, rules) -> DataFrame:
     """Rows violating any DROP rule, with the names of all rules they violate."""
-    dropping = [rule for rule in rules if rule.action == DROP]
     names = F.array_compact(F.array(*[F.when(~rule.holds, rule.name) for rule in rules]))
-    return df.where(~_all_hold(dropping)).withColumn("violated_rules", names)
+    return df.where(~_all_hold(_dropping(rules))).withColumn("violated_rules", names)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions import fx
+from stratamart.functions.clock import from_epoch
 from stratamart.functions.ordering import consecutive_ids
 
 INSERTED, SKIPPED, ERROR = "inserted", "skipped", "error"
@@ -41,11 +42,6 @@ def evolve(target: DataFrame, columns: dict[str, str] = STRIPE_COLUMNS) -> DataF
     return target.withColumns(missing) if missing else target
 
 
-def epoch_to_timestamp(seconds: Column) -> Column:
-    """UTC wall-clock time of an epoch, independent of the session time zone."""
-    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-
-
 def _given(name: str, default) -> Column:
     """The field's value; the default where its key is absent.
 
@@ -77,7 +73,7 @@ def map_payments(parsed: DataFrame, zero_decimal: tuple[str, ...] = ()) -> DataF
     loaded = priced.withColumns(
         {
             "amount": F.col("stripe_amount_usd"),
-            "payment_date": epoch_to_timestamp(F.col("stripe_created_timestamp")),
+            "payment_date": from_epoch(F.col("stripe_created_timestamp")),
         }
     )
     extra = [name for name in ("raw",) if name in parsed.columns]
@@ -154,7 +150,7 @@ def assign_ids(accepted: DataFrame, target: DataFrame) -> DataFrame:
     start = target.agg((F.coalesce(F.max("payment_id"), F.lit(0)) + 1).alias("_start"))
     numbered = consecutive_ids(accepted, "position", "payment_id")
     return (
-        numbered.crossJoin(start)
+        numbered.crossJoin(F.broadcast(start))
         .withColumn("payment_id", F.col("payment_id") + F.col("_start"))
         .drop("_start")
     )

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.clock import seconds_between
 from stratamart.operators.gold import ratio
 
 RUN_LOG_SCHEMA = """
@@ -33,8 +34,7 @@ def _since(as_of: Column | None, interval: str) -> Column:
 
 
 def _seconds(start: str, end: str) -> Column:
-    """Whole-second difference, both instants cut to the second first."""
-    return F.timestamp_diff("SECOND", F.date_trunc("second", start), F.date_trunc("second", end))
+    return seconds_between(F.col(start), F.col(end))
 
 
 def _runs(log: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def latest_run(log: DataFrame, slow_minutes: int = 30) -> DataFrame:
         .when(F.col("status") == "FAILED", "FAILED")
         .otherwise("IN PROGRESS")
     )
-    return run.crossJoin(work).withColumn("health_status", health)
+    return run.crossJoin(F.broadcast(work)).withColumn("health_status", health)
 
 
 def duration_anomaly(log: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -160,7 +160,7 @@ def duration_anomaly(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
     newest = _latest(completed).select((seconds / 60).alias("minutes"))
     mean, minutes = F.col("mean"), F.col("minutes")
-    return history.crossJoin(newest).select(
+    return history.crossJoin(F.broadcast(newest)).select(
         F.round(mean, 1).alias("avg_duration_7d"),
         F.round(minutes, 1).alias("latest_duration"),
         F.round(F.try_divide(minutes - mean, mean) * 100, 1).alias("duration_change_pct"),

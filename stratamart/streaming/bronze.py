@@ -6,6 +6,8 @@ commit log, so each file is ingested once even after a failure.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,21 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return query
 
 
+def ingest_all(spark: SparkSession, landing: Mapping[str, T.StructType], source: str, target: str, checkpoints: str) -> None:
+    """Ingest every landing folder ``source/<table>`` into ``target/<table>_bronze``.
+
+    The streams run side by side; the call returns when all have caught up.
+    """
+    queries = [
+        _writer(bronze_stream(spark, f"{source}/{name}", schema), f"{target}/{name}_bronze", f"{checkpoints}/{name}")
+        .trigger(availableNow=True)
+        .start()
+        for name, schema in landing.items()
+    ]
+    for query in queries:
+        query.awaitTermination()
+
+
 def start_continuous(df: DataFrame, path: str, checkpoint: str, interval: str = "1 minute") -> StreamingQuery:
     """Keep ingesting at ``interval``; the caller stops the returned query."""
     return _writer(df, path, checkpoint).trigger(processingTime=interval).start()

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.clock import epoch_seconds
+
 # Nation key -> ISO-2 country.
 NATION_COUNTRY = (
     "US", "CA", "DO", "CO", "PE", "BR", "JP", "CN", "ID", "TH", "PT", "NO", "FR",
@@ -191,7 +193,7 @@ class Sources:
         )
         cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
         amount = F.when(event % 97 == 0, "null").otherwise(cents)
-        seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+        seconds = epoch_seconds(F.col("ts"))
         status = F.when(event % 4 == 0, "processing").when(event % 4 == 1, "canceled").otherwise("succeeded")
         raw = F.concat(
             F.lit('{"id":"pi_'), F.floor(event / 4).cast("string"),
@@ -204,6 +206,15 @@ class Sources:
         )
         return events.select(event.alias("position"), raw.alias("raw"))
 
+    def bronze(self) -> dict[str, DataFrame]:
+        """The ten Bronze tables."""
+        return {
+            "product": self.product(), "brand": self.brand(), "product_category": self.product_category(),
+            "customer": self.customer(), "customer_type": self.customer_type(), "address": self.address(),
+            "orders": self.orders(), "order_item": self.order_item(),
+            "payment_postgres": self.payment(), "payment_method": self.payment_method(),
+        }
+
     # --- run log and change feed ---
 
     def run_log(self) -> DataFrame:

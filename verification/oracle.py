@@ -341,7 +341,7 @@ SILVER_SUFFIX = "replace(b.dataset, '_bronze', '_silver')"
 
 ORACLES = {
     # sources and sinks
-    "s1_csv_bronze": f"SELECT {PRODUCT_COLUMNS} FROM x_product",
+    "s1_csv_bronze": f"SELECT CAST(product_id AS INT) AS {PRODUCT_COLUMNS} FROM x_product",
     "s2_csv_rescued": """
         SELECT l_linenumber = 7 AS rescued, count(*) AS row_count,
                CAST(sum(CASE WHEN l_linenumber <> 7 THEN quantity END) AS BIGINT) AS quantity,
@@ -692,7 +692,47 @@ ORACLES = {
     "m9_conversion_accuracy": f"""
         SELECT currency, transaction_count, conversion_accuracy_pct
         FROM ({_currency_distribution('x_payment_silver')}) WHERE conversion_accuracy_pct < 95""",
+    "m10_record_run": """
+        SELECT 'product_bronze' AS dataset, count(*) AS num_output_rows, CAST(NULL AS BIGINT) AS failed FROM part
+        UNION ALL SELECT 'brand_bronze', count(DISTINCT p_brand), NULL FROM part
+        UNION ALL SELECT 'product_category_bronze', count(DISTINCT p_type), NULL FROM part
+        UNION ALL SELECT 'customer_bronze', count(*), NULL FROM customer
+        UNION ALL SELECT 'customer_type_bronze', count(DISTINCT c_mktsegment), NULL FROM customer
+        UNION ALL SELECT 'address_bronze', count(*), NULL FROM x_address
+        UNION ALL SELECT 'orders_bronze', count(*), NULL FROM orders
+        UNION ALL SELECT 'order_item_bronze', count(*), NULL FROM lineitem
+        UNION ALL SELECT 'payment_postgres_bronze', count(*), NULL FROM orders
+        UNION ALL SELECT 'payment_method_bronze', count(*), NULL FROM x_method
+        UNION ALL SELECT 'product_silver', count(*), count(*) FILTER (NOT is_active) FROM x_product
+        UNION ALL SELECT 'customer_silver', count(*) FILTER (country IS NOT NULL AND is_active IS NOT NULL),
+                         count(*) FILTER (country IS NULL) + count(*) FILTER (is_active IS NULL) FROM x_customer_silver
+        UNION ALL SELECT 'order_silver', count(*) FILTER (quantity > 0), count(*) FILTER (NOT coalesce(quantity > 0, false)) FROM x_order_silver
+        UNION ALL SELECT 'payment_silver', (SELECT count(*) FROM x_payment_kept),
+                         count(*) FILTER (stripe_payment_id IS NOT NULL AND stripe_currency IS NULL)
+                         + count(*) FILTER (conversion_validation_status = 'conversion_mismatch') FROM x_payment_silver
+        UNION ALL SELECT 'product_profit_gold', count(*), NULL FROM x_profit
+        UNION ALL SELECT 'cancelled_product_gold', count(DISTINCT o.product_id), NULL FROM x_order_declarative o JOIN x_product p ON p.product_id = o.product_id
+        UNION ALL SELECT 'sales_region_gold', count(*), NULL FROM x_region_declarative
+        UNION ALL SELECT 'sales_country_gold', count(DISTINCT country), NULL FROM x_sales_declarative
+        UNION ALL SELECT 'stripe_payment_gold', count(*), NULL FROM (SELECT DISTINCT stripe_status, stripe_currency FROM x_payment_kept WHERE payment_source = 'Stripe')
+        UNION ALL SELECT 'payment_source_gold', count(DISTINCT payment_source), NULL FROM x_payment_kept
+        UNION ALL SELECT 'currency_distribution_gold', count(*), NULL FROM (SELECT DISTINCT stripe_currency FROM x_payment_kept)""",
     # streaming
+    "st1_bronze_ingest": """
+        SELECT 'product_bronze' AS table_name, count(*) AS row_count FROM part
+        UNION ALL SELECT 'brand_bronze', count(DISTINCT p_brand) FROM part
+        UNION ALL SELECT 'product_category_bronze', count(DISTINCT p_type) FROM part
+        UNION ALL SELECT 'customer_bronze', count(*) FROM customer
+        UNION ALL SELECT 'customer_type_bronze', count(DISTINCT c_mktsegment) FROM customer
+        UNION ALL SELECT 'address_bronze', count(*) FROM x_address
+        UNION ALL SELECT 'orders_bronze', count(*) FROM orders
+        UNION ALL SELECT 'order_item_bronze', count(*) FROM lineitem
+        UNION ALL SELECT 'payment_postgres_bronze', count(*) FROM orders
+        UNION ALL SELECT 'payment_method_bronze', count(*) FROM x_method""",
+    "st2_schema_evolution": f"""
+        SELECT currency, count(*) AS row_count, {_d('sum(total_amount)', 'total_amount')}
+        FROM (SELECT currency, total_amount FROM x_orders UNION ALL SELECT NULL, total_amount FROM x_orders) GROUP BY 1""",
+    "st4_gold_after_trigger": _sales("x_sales_pg", _region("coalesce(country, '')", False, "Other"), "region"),
     "st5_streaming_payment_load": f"""
         SELECT (SELECT max(payment_id) FROM x_payment) + row_number() OVER (ORDER BY position) AS payment_id,
                stripe_payment_id, {_d('amount')} FROM x_status WHERE load_status = 'inserted'""",

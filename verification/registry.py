@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from stratamart.functions import fx
 from stratamart.functions.geography import map_region
 from stratamart.operators import analysis, expectations as expect, gold, ingest, monitor, quality, silver
-from stratamart.plans import direct
+from stratamart.plans import direct, medallion
 from stratamart.plans.variants import BUNDLE, DECLARATIVE, NOTEBOOK, PG
 from stratamart.session import configure, shared_folder
 from stratamart.sources import csv, payment_export, sinks
@@ -822,9 +822,64 @@ def m9_conversion_accuracy(t):
     return monitor.conversion_accuracy(gold.currency_distribution(t.payment_raw()))
 
 
+@query
+def m10_record_run(t):
+    """A full run over all layers, and what it logged about every table it touched."""
+    log_path = t.scratch("run_log")
+    medallion.run(t.spark, t.bronze(), t.scratch("tables"), log_path)
+    log = monitor.read_log(t.spark, log_path).where(F.col("event_type") == monitor.FLOW)
+    return log.select(
+        F.col("origin.dataset").alias("dataset"),
+        "num_output_rows",
+        F.aggregate("expectations", F.lit(0).cast("bigint"), lambda total, e: total + e.failed_records).alias("failed"),
+    )
+
+
 # --- streaming ------------------------------------------------------------------
 
 
+@query
+def st1_bronze_ingest(t):
+    """All ten Bronze tables ingested as streams, with their row counts."""
+    landing, target = t.scratch("landing"), t.scratch("bronze")
+    tables = t.bronze()
+    for name, df in tables.items():
+        df.write.parquet(f"{landing}/{name}")
+    schemas = {name: df.schema for name, df in tables.items()}
+    bronze.ingest_all(t.spark, schemas, landing, target, t.scratch("checkpoints"))
+    written = {f"{name}_bronze": bronze.read_bronze(t.spark, f"{target}/{name}_bronze") for name in tables}
+    return quality.table_row_counts(written)
+
+
+@query
+def st2_schema_evolution(t):
+    """Orders arrive without currency, then with it: the stream restarts with the wider schema."""
+    landing, target, checkpoint = t.scratch("landing"), t.scratch("orders_bronze"), t.scratch("checkpoint")
+    narrow, wide = t.orders().drop("currency"), t.orders()
+    narrow.write.mode("append").parquet(landing)
+    bronze.run_available_now(bronze.bronze_stream(t.spark, landing, narrow.schema), target, checkpoint)
+    wide.write.mode("append").parquet(landing)
+    widened = bronze.widen_schema(narrow.schema, wide.schema)
+    bronze.run_available_now(bronze.bronze_stream(t.spark, landing, widened), target, checkpoint)
+    return bronze.read_bronze(t.spark, target).groupBy("currency").agg(
+        F.count("*").alias("row_count"), F.sum("total_amount").alias("total_amount")
+    )
+
+
+@query
+def st4_gold_after_trigger(t):
+    """Gold recomputed over what the last trigger ingested."""
+    landing, target = t.scratch("landing"), t.scratch("bronze")
+    tables = {name: df for name, df in t.bronze().items() if name in ("orders", "order_item")}
+    for name, df in tables.items():
+        df.write.parquet(f"{landing}/{name}")
+    schemas = {name: df.schema for name, df in tables.items()}
+    bronze.ingest_all(t.spark, schemas, landing, target, t.scratch("checkpoints"))
+    orders, items = (bronze.read_bronze(t.spark, f"{target}/{name}_bronze") for name in tables)
+    totals = direct.order_totals(orders, items, variant=PG)
+    return gold.sales_region_from_totals(totals, t.customer_silver(PG), PG, keyed=True)
+
+
 @query
 def st5_streaming_payment_load(t):
     """All events streamed as payments into the payment table's folder."""
