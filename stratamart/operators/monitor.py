@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions.clock import seconds_between
+from stratamart.functions.literals import literal_rows
 from stratamart.operators.gold import ratio
 
 RUN_LOG_SCHEMA = """
@@ -215,9 +216,10 @@ STRICT_DROP_RATE = Threshold("drop_rate_pct", 10, 30)
 
 def alerts(metrics: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """Warning and critical rows of ``metrics(metric, subject, value)``; unknown metrics raise none."""
-    limits = metrics.sparkSession.createDataFrame(
+    limits = literal_rows(
+        metrics.sparkSession,
+        ("metric", "warning", "critical", "low_is_bad", "inclusive"),
         [(t.metric, float(t.warning), float(t.critical), t.low_is_bad, t.inclusive) for t in thresholds],
-        "metric string, warning double, critical double, low_is_bad boolean, inclusive boolean",
     )
     value = F.col("value")
 

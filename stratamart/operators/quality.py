@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions.literals import literal_rows
 from stratamart.operators.gold import order_grain_sales, ratio
 from stratamart.plans.variants import PG, Variant
 
@@ -123,13 +124,12 @@ def run_checks(df: DataFrame, checks: Mapping[str, tuple[Column, str]]) -> DataF
 
 def schema_contract(df: DataFrame, test: str, required: Sequence[str]) -> DataFrame:
     """One result row per required column, from the schema alone."""
-    spark = df.sparkSession
     rows = [
         (f"{test}: {name}", PASSED if name in df.columns else FAILED,
          "" if name in df.columns else f"Column {name} not found")
         for name in required
     ]
-    return spark.createDataFrame(rows, "test string, status string, message string")
+    return literal_rows(df.sparkSession, ("test", "status", "message"), rows)
 
 
 def product_checks(product: DataFrame) -> DataFrame:

@@ -83,9 +83,9 @@ def customer(
     customer: DataFrame, customer_type: DataFrame, address: DataFrame, variant: Variant = DECLARATIVE
 ) -> DataFrame:
     """Customers with type, every address (a customer with two appears twice) and the status flag."""
-    typed = drop_rescued(customer).join(customer_type.select("customer_type_id", "type_name"), "customer_type_id")
-    located = left_join_split(typed, address.select("customer_id", "city", "country"), "customer_id")
-    flagged = located.withColumn("active_status_is_correct", active_status_is_correct())
+    located = left_join_split(drop_rescued(customer), address.select("customer_id", "city", "country"), "customer_id")
+    typed = located.join(customer_type.select("customer_type_id", "type_name"), "customer_type_id")
+    flagged = typed.withColumn("active_status_is_correct", active_status_is_correct())
     added = ("type_name", "city", "country", "active_status_is_correct")
     if variant == PG:
         return flagged.select(

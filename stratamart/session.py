@@ -32,6 +32,8 @@ def build_session(app_name: str = "stratamart", master: str | None = None, **con
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
+        # Call-site capture per column expression costs more than planning does.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **RUNTIME_SETTINGS,
         **conf,
     }

@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIELDS = {
-    "id": "string",
-    "amount_received": "bigint",
-    "currency": "string",
-    "created": "bigint",
-    "status": "string",
-    "customer": "string",
-    "description": "string",
-}
+FIELDS = "id string, amount_received bigint, currency string, created bigint, status string, customer string, description string"
 
 
 def explode_documents(documents: DataFrame) -> DataFrame:
@@ -29,19 +21,16 @@ def parse_payments(raw: DataFrame, keep_raw: bool = True) -> DataFrame:
     """Typed columns from ``raw``; ``metadata`` stays JSON text, ``present_keys`` lists the keys given.
 
     The keys tell an absent field, which has a default, from an explicit null,
-    which is an error.
+    which is an error. A value of the wrong type is NULL and leaves the other
+    fields intact.
     """
-    fields = [
-        F.try_variant_get(F.col("_payment"), f"$.{name}", kind).alias(name) for name, kind in FIELDS.items()
-    ]
     others = [name for name in raw.columns if name != "raw"]
-    parsed = raw.withColumn("_payment", F.try_parse_json("raw")).select(
+    parsed = raw.select(
         *others,
-        *fields,
-        F.to_json(F.try_variant_get("_payment", "$.metadata", "variant")).alias("metadata"),
+        F.from_json("raw", f"{FIELDS}, metadata string").alias("_payment"),
         F.json_object_keys("raw").alias("present_keys"),
         "raw",
-    )
+    ).select(*others, "_payment.*", "present_keys", "raw")
     return parsed if keep_raw else parsed.drop("raw")
 
 

@@ -40,7 +40,7 @@ def _write_version(df: DataFrame, path: str, partition_by: Sequence[str]) -> str
 
 
 def _commit(spark: SparkSession, path: str, version: str) -> None:
-    entry = spark.createDataFrame([(time.time_ns(), version)], COMMIT_SCHEMA)
+    entry = spark.range(1).select(F.lit(time.time_ns()).alias("sequence"), F.lit(version).alias("version"))
     entry.coalesce(1).write.mode("append").parquet(f"{path}/{COMMITS}")
 
 
