@@ -117,7 +117,10 @@ def classify(mapped: DataFrame, target: DataFrame) -> DataFrame:
         F.when(F.col("error_reason").isNull(), F.col("position")).alias("first_storable"),
         F.lit(False).alias("known"),
     )
-    in_target = target.where(F.col("stripe_payment_id").isNotNull()).select(
+    # Only target ids the batch mentions matter: a batch far smaller than the
+    # target is broadcast and the target is scanned without being shuffled.
+    batch_ids = in_batch.select("stripe_payment_id").distinct()
+    in_target = target.join(batch_ids, "stripe_payment_id", "left_semi").select(
         "stripe_payment_id", F.lit(None).cast("bigint").alias("first_storable"), F.lit(True).alias("known")
     )
     per_id = (

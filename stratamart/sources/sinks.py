@@ -57,6 +57,43 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     return read(df.sparkSession, path)
 
 
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete published versions older than the newest ``keep``; returns their names.
+
+    Versions that were never committed are left alone, as a writer may still
+    be working on them.
+    """
+    if keep < 1:
+        raise ValueError("the current version must be kept")
+    newest = _commits(spark, path).orderBy(F.desc("sequence"))
+    versions = [row["version"] for row in newest.collect()]
+    removed = []
+    for version in versions[keep:]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{version}")
+        filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if filesystem.exists(target) and filesystem.delete(target, True):
+            removed.append(version)
+    return removed
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A catalog table hash-bucketed and sorted by ``key``.
+
+    Two tables with the same bucketing join on the key, and aggregate by it,
+    without a shuffle. Rows are spread by key first so that each bucket is one
+    file instead of one per task.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def create_if_absent(df: DataFrame, path: str) -> DataFrame:
     """Write only when the table does not exist yet."""
     if _exists(df.sparkSession, f"{path}/{COMMITS}"):

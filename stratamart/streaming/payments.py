@@ -37,9 +37,14 @@ def upsert_batch(base: DataFrame, path: str) -> Callable[[DataFrame, int], None]
         if batch_id > 0:
             earlier = _other_batches(spark, path, schema, batch_id)
             known = known.unionByName(earlier.select("payment_id", "stripe_payment_id"))
-        accepted = ingest.new_payments(mapped, known)
-        numbered = ingest.assign_ids(accepted, known).select("payment_id", *ingest.LOADED_COLUMNS)
-        numbered.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        # The load reads the batch several times; keep it instead of re-reading the source.
+        mapped.persist()
+        try:
+            accepted = ingest.new_payments(mapped, known)
+            numbered = ingest.assign_ids(accepted, known).select("payment_id", *ingest.LOADED_COLUMNS)
+            numbered.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        finally:
+            mapped.unpersist()
 
     return load
 

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from stratamart.functions.joins import left_join_split
 from stratamart.functions.ordering import consecutive_ids
+from stratamart.operators import gold, ingest
+from stratamart.plans import direct
 from stratamart.plans.variants import DECLARATIVE, PG
+from stratamart.sources import sinks
 from verification.registry import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -59,8 +62,6 @@ def test_scans_read_only_needed_columns(spark):
 def test_bronze_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     Tables(spark, FOLDER).orders().write.parquet(path)
-    from stratamart.plans import direct
-
     orders = spark.read.parquet(path)
     text = plan(direct.order_totals(orders, Tables(spark, FOLDER).order_item(), variant=PG))
     assert "Not(EqualTo(order_status,cancelled))" in text
@@ -83,11 +84,34 @@ def test_numbering_sorts_no_whole_input(spark):
     assert "_super" in below and "_super_n" in text
 
 
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    tables = Tables(spark, FOLDER)
+    orders = sinks.save_bucketed(tables.orders(), "orders_bucketed", str(tmp_path / "o"), "order_id", 4)
+    items = sinks.save_bucketed(tables.order_item(), "items_bucketed", str(tmp_path / "i"), "order_id", 4)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        totals = direct.order_totals(orders, items, variant=PG)
+        assert "Exchange" not in plan(totals)
+        expected = direct.order_totals(tables.orders(), tables.order_item(), variant=PG)
+        assert totals.agg(F.sum("amount")).first() == expected.agg(F.sum("amount")).first()
+    spark.sql("DROP TABLE orders_bucketed")
+    spark.sql("DROP TABLE items_bucketed")
+
+
+def test_small_batch_does_not_shuffle_the_target(spark):
+    tables = Tables(spark, FOLDER)
+    batch = tables.payments_mapped().cache()
+    batch.count()
+    with settings(spark, spark__sql__adaptive__enabled="true"):
+        df = ingest.classify(batch, tables.payment())
+        df.collect()
+        text = plan(df)
+    batch.unpersist()
+    assert re.search(r"BroadcastHashJoin .*LeftSemi", text)
+
+
 def _final_plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    collected = df._jdf.queryExecution()
     df.collect()
-    return collected.executedPlan().toString()
+    return plan(df)
 
 
 HOT = {
@@ -142,8 +166,6 @@ def test_hot_customer_and_product(spark):
                 .withColumn("order_id", F.when(hot, 1).otherwise(F.col("order_id")))
             )
 
-    from stratamart.operators import gold
-
     hot = Hot(spark, FOLDER)
     for variant in (PG, DECLARATIVE):
         lines = hot.order_silver(variant)
