@@ -136,7 +136,8 @@ def finish_product_profit(product_silver: DataFrame, per_product: DataFrame, var
             ratio(profit, quantity).alias("unit_profit"),
             ratio(profit, sold).alias("profit_margin"),
         )
-    profit = F.col("total_payment_amount") - cost
+    # Narrowed operands keep all eight decimals of the difference.
+    profit = _exact(F.col("total_payment_amount")) - cost.cast("decimal(28,2)")
     return totals.select(
         *keys[:3], "total_payment_amount", "total_quantity",
         cost.alias("total_cost"),

@@ -3,6 +3,9 @@
 The steps are the ones a row-by-row loader would take (map, skip known ids,
 isolate bad records, number, append), each expressed once over the whole
 batch. ``position`` is a BIGINT giving the file order.
+
+Classifying and numbering read the mapped batch several times. Pass a staged
+batch (``sinks.stage``), so that the JSON is parsed once.
 """
 
 from __future__ import annotations

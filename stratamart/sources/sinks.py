@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.operators import expectations as expect
+from stratamart.session import shared_folder
 
 COMMITS = "commits"
 COMMIT_SCHEMA = "sequence bigint, version string"
@@ -50,6 +51,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{latest['version']}")
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and continue from the written table.
+
+    For results that several later steps read: they scan only the columns they
+    need instead of recomputing the input, and a lost executor costs no more
+    than re-reading files.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full refresh: write a new version, then make it the current one."""
     version = _write_version(df, path, partition_by)

@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import types as T
@@ -61,3 +62,15 @@ def test_jdbc_options():
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("master, folder", [("local[2]", None), ("spark://host:7077", None), ("spark://host:7077", "s3://b/cp/")])
+def test_local_folders_are_for_local_masters_only(master, folder):
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
+    )
+    if folder is None and not master.startswith("local"):
+        with pytest.raises(ValueError):
+            session.shared_folder(fake)
+    else:
+        assert session.shared_folder(fake) == (folder or session.shared_folder(fake)).rstrip("/")

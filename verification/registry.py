@@ -89,6 +89,10 @@ class Tables(Sources):
     def payments_mapped(self) -> DataFrame:
         return ingest.map_payments(self.payments_parsed())
 
+    def payments_staged(self) -> DataFrame:
+        """The mapped batch written once, for the steps that read it repeatedly."""
+        return sinks.stage(self.payments_mapped().drop("raw"), "payments_mapped")
+
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -252,12 +256,12 @@ def i1_map_payments(t):
 
 @query
 def i3_new_payments(t):
-    return ingest.new_payments(t.payments_mapped(), t.payment()).select("position", "stripe_payment_id", "amount")
+    return ingest.new_payments(t.payments_staged(), t.payment()).select("position", "stripe_payment_id", "amount")
 
 
 @query
 def i4_assign_ids(t):
-    accepted = ingest.new_payments(t.payments_mapped(), t.payment())
+    accepted = ingest.new_payments(t.payments_staged(), t.payment())
     return ingest.assign_ids(accepted, t.payment()).select("position", "payment_id", "stripe_payment_id")
 
 
@@ -279,7 +283,7 @@ def i5_to_usd_zero_decimal(t):
 def i6_evolved_load(t):
     """A payment table without the external columns, evolved and loaded."""
     legacy = t.payment().select("payment_id", "order_id", "amount", "payment_date", "payment_method_id")
-    return ingest.load(t.payments_mapped(), legacy)
+    return ingest.load(t.payments_staged(), legacy)
 
 
 @query
@@ -289,12 +293,12 @@ def i7_quarantine(t):
 
 @query
 def i8_load_summary(t):
-    return ingest.load_summary(t.payments_mapped(), t.payment())
+    return ingest.load_summary(t.payments_staged(), t.payment())
 
 
 @query
 def i8_load_status(t):
-    return ingest.classify(t.payments_mapped(), t.payment()).select("position", "stripe_payment_id", "load_status")
+    return ingest.classify(t.payments_staged(), t.payment()).select("position", "stripe_payment_id", "load_status")
 
 
 @query(money=8)
