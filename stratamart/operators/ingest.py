@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stratamart.functions import fx
 from stratamart.functions.clock import from_epoch
 from stratamart.functions.ordering import consecutive_ids
+from stratamart.sources import sinks
 
 INSERTED, SKIPPED, ERROR = "inserted", "skipped", "error"
 
@@ -170,9 +171,13 @@ def append_rows(target: DataFrame, numbered: DataFrame) -> DataFrame:
 
 
 def load(mapped: DataFrame, target: DataFrame) -> DataFrame:
-    """The payment table after the load."""
+    """The payment table after the load.
+
+    The accepted rows are written once, since numbering reads them twice.
+    """
     known = evolve(target)
-    return append_rows(known, assign_ids(new_payments(mapped, known), known))
+    accepted = sinks.stage(new_payments(mapped, known), "accepted_payments")
+    return append_rows(known, assign_ids(accepted, known))
 
 
 def load_summary(mapped: DataFrame, target: DataFrame) -> DataFrame:

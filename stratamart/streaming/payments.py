@@ -28,20 +28,24 @@ def upsert_batch(base: DataFrame, path: str) -> Callable[[DataFrame, int], None]
     base table and the *other* batches, so replaying a batch after a failure
     writes the same rows again instead of adding them twice.
     """
-    evolved = ingest.evolve(base)
+    known_base = ingest.evolve(base).select("payment_id", "stripe_payment_id")
+    # One row; the base does not change while the stream runs.
+    base_maximum = known_base.agg(F.max("payment_id")).first()[0]
+    schema = f"payment_id bigint, stripe_payment_id string, {BATCH} int"
 
     def load(mapped: DataFrame, batch_id: int) -> None:
         spark = mapped.sparkSession
-        schema = f"payment_id bigint, stripe_payment_id string, {BATCH} int"
-        known = evolved.select("payment_id", "stripe_payment_id")
+        known = known_base
+        taken = spark.range(1).select(F.lit(base_maximum).cast("bigint").alias("payment_id"))
         if batch_id > 0:
             earlier = _other_batches(spark, path, schema, batch_id)
             known = known.unionByName(earlier.select("payment_id", "stripe_payment_id"))
+            taken = taken.unionByName(earlier.select("payment_id"))
         # The load reads the batch several times; keep it instead of re-reading the source.
         mapped.persist()
         try:
             accepted = ingest.new_payments(mapped, known)
-            numbered = ingest.assign_ids(accepted, known).select("payment_id", *ingest.LOADED_COLUMNS)
+            numbered = ingest.assign_ids(accepted, taken).select("payment_id", *ingest.LOADED_COLUMNS)
             numbered.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         finally:
             mapped.unpersist()
@@ -77,13 +81,17 @@ def apply_stream(
     """
 
     def enforce(batch: DataFrame, batch_id: int) -> None:
-        failing = [rule for rule in rules if rule.action == expect.FAIL]
-        if failing:
-            counts = batch.agg(*[F.count_if(~rule.holds).alias(rule.name) for rule in failing]).first()
-            failed = expect.failed_rules(counts.asDict(), failing)
-            if failed:
-                raise expect.ExpectationFailed(table, failed)
-        expect.keep(batch, rules).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch.persist()
+        try:
+            failing = [rule for rule in rules if rule.action == expect.FAIL]
+            if failing:
+                counts = batch.agg(*[F.count_if(~rule.holds).alias(rule.name) for rule in failing]).first()
+                failed = expect.failed_rules(counts.asDict(), failing)
+                if failed:
+                    raise expect.ExpectationFailed(table, failed)
+            expect.keep(batch, rules).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
 
     query = (
         df.writeStream.foreachBatch(enforce)

@@ -229,19 +229,18 @@ VIEWS = {
         FROM (SELECT *, min(CASE WHEN error_reason IS NULL THEN position END) OVER (PARTITION BY stripe_payment_id) AS first_ok
               FROM x_judged)""",
     # Run log
-    "x_run": """
-        SELECT concat('u', lpad(CAST(event_id AS VARCHAR), 12, '0')) AS update_id, ts,
-               ts + to_seconds(CAST(floor(value * 6) AS INT)) AS end_time,
+    "x_log": f"""
+        SELECT concat('u', lpad(CAST(event_id - event_id % 20 AS VARCHAR), 12, '0')) AS update_id, ts,
+               CASE WHEN event_id % 20 = 0 THEN 'update_progress' ELSE 'flow_progress' END AS kind,
                CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'RUNNING' ELSE 'COMPLETED' END AS state,
                CASE user_id % 3 WHEN 0 THEN 'USER_ACTION' WHEN 1 THEN 'SCHEDULE' ELSE 'RETRY' END AS cause,
                CASE WHEN event_type = 'error' THEN 'boom' END AS error_message,
-               floor(epoch(ts + to_seconds(CAST(floor(value * 6) AS INT)))) - floor(epoch(ts)) AS seconds
-        FROM events WHERE event_id % 20 = 0""",
-    "x_flow": f"""
-        SELECT update_id, ts, dataset,
-               CASE WHEN dataset LIKE '%\\_silver' ESCAPE '\\' THEN 500 + event_id % 500 ELSE 1000 + event_id % 100 END AS written
-        FROM (SELECT *, concat('u', lpad(CAST(event_id - event_id % 20 AS VARCHAR), 12, '0')) AS update_id,
-                     {DATASETS}[event_id % 20] AS dataset FROM events WHERE event_id % 20 <> 0)""",
+               floor(epoch(ts + to_seconds(CAST(floor(value * 6) AS INT)))) - floor(epoch(ts)) AS seconds,
+               {DATASETS}[event_id % 20] AS dataset,
+               CASE WHEN {DATASETS}[event_id % 20] LIKE '%silver' THEN 500 + event_id % 500 ELSE 1000 + event_id % 100 END AS written
+        FROM events""",
+    "x_run": "SELECT * FROM x_log WHERE kind = 'update_progress'",
+    "x_flow": "SELECT * FROM x_log WHERE kind = 'flow_progress'",
     "x_now": "SELECT max(ts) AS now FROM events",
     "x_pass": """
         SELECT dataset AS table_name, r.name AS expectation_name, CAST(sum(written) AS BIGINT) AS passed_count,

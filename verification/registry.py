@@ -261,7 +261,7 @@ def i3_new_payments(t):
 
 @query
 def i4_assign_ids(t):
-    accepted = ingest.new_payments(t.payments_staged(), t.payment())
+    accepted = sinks.stage(ingest.new_payments(t.payments_staged(), t.payment()), "accepted_payments")
     return ingest.assign_ids(accepted, t.payment()).select("position", "payment_id", "stripe_payment_id")
 
 
