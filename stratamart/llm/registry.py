@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratamart.llm import mixing
+from stratamart.llm import decontamination, mixing
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op8_decontamination": decontamination.op8_decontamination,
 }
 ORACLE_SQL = {
     "op2_mixing": mixing.OP2_SQL,
