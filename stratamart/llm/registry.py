@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, mixing
+from stratamart.llm import decontamination, jaccard_join, mixing
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontamination.op8_decontamination,
 }
 ORACLE_SQL = {
