@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, jaccard_join, mixing
+from stratamart.llm import decontamination, jaccard_join, mixing, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontamination.op8_decontamination,
 }
