@@ -42,7 +42,7 @@ LEXICON = 120
 GROUPS = 6
 REJECT = 0.7
 _LETTERS = re.compile(r"[^\W\d_]+")
-_STEMS = (3, 4, 5, 6)
+_STEMS = (3, 4, 5, 6, 7, 8)
 _VOTERS = GROUPS + 4
 
 
