@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, jaccard_join, mixing, toxicity
+from stratamart.llm import decontamination, jaccard_join, mixing, pii, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_pii": pii.op6_pii,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontamination.op8_decontamination,
 }
