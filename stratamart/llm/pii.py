@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,7 +253,7 @@ def redact(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fit(found_spans(docs)))
 
     @F.pandas_udf("string")
-    def cleaned(texts: "pd.Series") -> "pd.Series":  # noqa: F821
+    def cleaned(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: redact_text(t, s) if t and (s := model.value.spans(candidates(t))) else t)
 
     out = docs.withColumn("text", cleaned("text"))

@@ -29,6 +29,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,12 +266,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a column ``toxicity`` (replaced if there is one)."""
-    from pyspark.sql.functions import pandas_udf
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @pandas_udf("double")
-    def toxicity(texts: "pd.Series") -> "pd.Series":  # noqa: F821
+    @F.pandas_udf("double")
+    def toxicity(texts: pd.Series) -> pd.Series:
         return texts.map(shared.value.score).astype("float64")
 
     return docs.withColumn("toxicity", toxicity("text"))
