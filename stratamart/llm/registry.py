@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, jaccard_join, mixing, pii, toxicity
+from stratamart.llm import decontamination, hmm, jaccard_join, mixing, pii, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_pii": pii.op6_pii,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontamination.op8_decontamination,
+    "op10_hmm": hmm.op10_hmm,
 }
 ORACLE_SQL = {
     "op2_mixing": mixing.OP2_SQL,
