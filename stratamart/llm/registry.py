@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, hmm, jaccard_join, mixing, pii, toxicity
+from stratamart.llm import decontamination, hmm, jaccard_join, mixing, pii, substring_dedup, toxicity
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_mixing": mixing.op2_mixing,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_pii": pii.op6_pii,
