@@ -149,8 +149,9 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: float, gram: int) ->
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_TEXTS), F.ceil(F.sum("n_words") / GROUP_GRAMS)).cast("int")
     sizes = members.groupBy("root").agg(blocks.alias("blocks"))
     members = stage(members.join(sizes, "root"), "members").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    # A merge join at every size: the members grow with the corpus and are never broadcast.
     chosen = members.select(F.col("class_id").alias("chosen_id"), "key", "root", "copies", "block", "blocks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("chosen_id")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = texts.select("key", "root", "copies", "block", "text", other.alias("other")).select(
         "root", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "key", "block", "copies", "text"
