@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, hmm, jaccard_join, mixing, pii, substring_dedup, toxicity
+from stratamart.llm import decontamination, hmm, jaccard_join, mixing, pii, substring_dedup, toxicity, vector_lsh
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_mixing": mixing.op2_mixing,
+    "op4_vector_lsh": vector_lsh.op4_vector_lsh,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_pii": pii.op6_pii,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
