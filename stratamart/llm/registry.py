@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from stratamart.llm import decontamination, hmm, jaccard_join, mixing, pii, substring_dedup, toxicity, vector_lsh
+from stratamart.llm import (
+    decontamination, hmm, jaccard_join, licences, mixing, pii, substring_dedup, toxicity, url_filter, vector_lsh,
+)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_mixing": mixing.op2_mixing,
+    "op3_url_filter": url_filter.op3_url_filter,
     "op4_vector_lsh": vector_lsh.op4_vector_lsh,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_pii": pii.op6_pii,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_decontamination": decontamination.op8_decontamination,
+    "op9_licences": licences.op9_licences,
     "op10_hmm": hmm.op10_hmm,
 }
 ORACLE_SQL = {
     "op2_mixing": mixing.OP2_SQL,
+    "op3_url_filter": url_filter.OP3_SQL,
+    "op9_licences": licences.OP9_SQL,
 }
