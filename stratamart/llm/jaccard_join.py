@@ -220,3 +220,20 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "component_id", "kept")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c JOIN z p ON p.doc_id = x JOIN z q ON q.doc_id = y WHERE 9 * k >= 4 * (p.n + q.n)),
+reach(x, y) AS (SELECT x, y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+m AS (SELECT x, min(y) AS least FROM reach GROUP BY x),
+e AS (SELECT x, count(*) AS n FROM l GROUP BY x),
+t AS (SELECT doc_id, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY text) ELSE doc_id END AS class_id FROM d)
+SELECT t.doc_id, class_id, coalesce(n, 0)::BIGINT AS n_links, least(t.doc_id, coalesce(m.least, t.doc_id)) AS component_id,
+       t.doc_id = least(t.doc_id, coalesce(m.least, t.doc_id)) AS kept
+FROM t LEFT JOIN e ON e.x = t.doc_id LEFT JOIN m ON m.x = t.doc_id
+"""

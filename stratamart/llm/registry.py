@@ -18,8 +18,13 @@ QUERIES = {
     "op9_licences": licences.op9_licences,
     "op10_hmm": hmm.op10_hmm,
 }
+# Where SQL can say it; the queries with trained models are tested against brute force in tests/llm.
 ORACLE_SQL = {
+    "op1_substring_dedup": substring_dedup.OP1_SQL,
     "op2_mixing": mixing.OP2_SQL,
     "op3_url_filter": url_filter.OP3_SQL,
+    "op4_vector_lsh": vector_lsh.OP4_SQL,
+    "op7_jaccard_join": jaccard_join.OP7_SQL,
+    "op8_decontamination": decontamination.OP8_SQL,
     "op9_licences": licences.OP9_SQL,
 }

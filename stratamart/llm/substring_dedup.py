@@ -280,3 +280,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_t
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+m AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1),
+g AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM s WHERE h IN (SELECT h FROM m)),
+x AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.p) AS kept, count(*) AS n FROM x LEFT JOIN g ON x.r = g.r AND x.p = g.p WHERE g.r IS NULL GROUP BY x.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r
+"""

@@ -225,3 +225,16 @@ def _keys(vectors: DataFrame) -> DataFrame:
 
 def op4_vector_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+u AS (SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(x, y) AS (SELECT x, y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
+m AS (SELECT x, min(y) AS least FROM reach GROUP BY x),
+e AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(m.least, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(m.least, v.vec_id)) AS kept
+FROM v LEFT JOIN e ON e.x = v.vec_id LEFT JOIN m ON m.x = v.vec_id
+"""
