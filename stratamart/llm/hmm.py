@@ -265,7 +265,7 @@ def scores(docs: DataFrame, trained: Trained) -> DataFrame:
             part = np.fromiter((zlib.crc32(t) % parts for t in tail), np.int64, len(tail))
             order = np.argsort(part, kind="stable")
             names, cuts = list(tail), np.searchsorted(part[order], np.arange(parts + 1))
-            sent = [b" ".join(names[j] for j in order[cuts[p] : cuts[p + 1]].tolist()) for p in range(parts)]
+            sent = [b" ".join(names[j] for j in order[a:b].tolist()) if b > a else None for a, b in zip(cuts, cuts[1:], strict=False)]
             column = lambda x, t: pa.array([x], pa.list_(t))
             raw = lambda x: pa.array([np.asarray(x, np.int32).tobytes()], pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -279,12 +279,12 @@ def scores(docs: DataFrame, trained: Trained) -> DataFrame:
             )
 
     blocks = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(block, _BLOCK), "blocks")
-    asked = blocks.select("block", F.posexplode("tokens").alias("part", "sent"))
+    asked = blocks.select("block", F.posexplode("tokens").alias("part", "sent")).filter("sent IS NOT NULL")
     known = trained.table.select(F.pmod(F.crc32("token"), F.lit(parts)).cast("int").alias("part"), "token", "n")
 
     def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
         n = dict(zip(right["token"].to_pylist(), right["n"].to_pylist(), strict=True))
-        answers = [np.fromiter((n.get(t, 0) for t in sent.split()), np.int64).tobytes() for sent in left["sent"].to_pylist()]
+        answers = [np.fromiter((n.get(t, 0) for t in sent.split(b" ")), np.int64).tobytes() for sent in left["sent"].to_pylist()]
         return pa.table([left["block"], left["part"], pa.array(answers, pa.binary())], ["block", "part", "counts"])
 
     answers = asked.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(look_up, "block long, part int, counts binary")

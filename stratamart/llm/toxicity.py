@@ -4,7 +4,7 @@ Voters. From a bounded sample of labelled rows (at most ``SAMPLE_TOXIC`` and
 ``SAMPLE_CLEAN`` texts, the smallest md5 of the id; the held-out third is never touched)
 whole words and word beginnings are counted by label, and a greedy cover picks those that
 explain further toxic texts: copies of one text cannot fill the lexicon. The lexicon is dealt
-to ``GROUPS`` lexicon voters and one pattern voter for word beginnings; density, repetition and
+to ``GROUPS`` lexicon voters by strength and one pattern voter for word beginnings; density, repetition and
 absence voters join them.
 
 Label model. The votes of all documents (a bit mask each, so at most 2**voters counts) are
@@ -83,10 +83,10 @@ class Lexicon:
         return sorted(found), hit, len(words)
 
     def votes(self, found: list[int], hit: int, words: int) -> int:
-        """A bit for each voter: lexicon groups, word beginnings, several hits, dense hits, no hit."""
+        """A bit for each voter: lexicon groups by strength, word beginnings, several hits, dense hits, no hit."""
         mask = 0
         for i in found:
-            mask |= 1 << (GROUPS if not self.entries[i].endswith(" ") else i % GROUPS)
+            mask |= 1 << (GROUPS if not self.entries[i].endswith(" ") else i * GROUPS // len(self.entries))
         mask |= (hit >= 2) << (GROUPS + 1) | (hit > 0 and 200 * hit >= words) << (GROUPS + 2) | (hit == 0) << (GROUPS + 3)
         return int(mask)
 
@@ -120,7 +120,7 @@ def _counts(sample: DataFrame) -> list[str]:
     rate = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
     found = (
         sample.mapInArrow(count, "entry string, clean long, toxic long").groupBy("entry")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= 3)
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= 5 * (F.col("clean") + 1))
     )
     return [r.entry for r in found.filter(rate >= 8).orderBy((F.col("toxic") * F.log(rate)).desc(), "entry").limit(CANDIDATES).collect()]
 
@@ -166,8 +166,10 @@ def label_model(masks: np.ndarray, n: np.ndarray, share: float, rounds: int = 50
         p1 = 0.5 * (p1 + share)
         one = ((weight * post) @ votes + 1e-6) / ((weight * post).sum() + 2e-6)
         zero = ((weight * (1 - post)) @ votes + 1e-6) / ((weight * (1 - post)).sum() + 2e-6)
-        # Within a class, voters that move together share their evidence.
-        off = votes - post[:, None] * one - (1 - post[:, None]) * zero
+        # Within a class (the likelier one), voters that move together share their evidence.
+        off = np.zeros_like(votes)
+        for side in (post > 0.5, post <= 0.5):
+            off[side] = votes[side] - (weight[side] @ votes[side]) / max(1e-12, weight[side].sum())
         cov = (off * weight[:, None]).T @ off
         sd = np.sqrt(np.diag(cov)) + 1e-9
         shared = 1 / (1 + (np.abs(cov / sd[:, None] / sd[None, :]) - np.eye(_VOTERS)).clip(0).sum(1))
