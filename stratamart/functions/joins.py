@@ -15,6 +15,9 @@ def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     partial aggregation collapses before the shuffle. Where a later filter or
     inner join rejects the NULL-extended rows, Catalyst folds the second branch
     away and only the inner join remains.
+
+    Both inputs are read twice. Use it only for a right side that is known to
+    have a hot key; a plain left join serves all others.
     """
     matched = left.join(right, key, "inner")
     unmatched = left.join(right.select(key).distinct(), key, "left_anti")

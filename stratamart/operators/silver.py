@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions import fx
-from stratamart.functions.joins import left_join_split
 from stratamart.plans.variants import BUNDLE, DECLARATIVE, NOTEBOOK, PG, Variant
 
 PRODUCT_PG = ("product_id", "product_name", "price", "is_active", "category_name", "brand_name")
@@ -83,7 +82,7 @@ def customer(
     customer: DataFrame, customer_type: DataFrame, address: DataFrame, variant: Variant = DECLARATIVE
 ) -> DataFrame:
     """Customers with type, every address (a customer with two appears twice) and the status flag."""
-    located = left_join_split(drop_rescued(customer), address.select("customer_id", "city", "country"), "customer_id")
+    located = drop_rescued(customer).join(address.select("customer_id", "city", "country"), "customer_id", "left")
     typed = located.join(customer_type.select("customer_type_id", "type_name"), "customer_type_id")
     flagged = typed.withColumn("active_status_is_correct", active_status_is_correct())
     added = ("type_name", "city", "country", "active_status_is_correct")
@@ -109,7 +108,7 @@ def order(
     the payment amount by the order's currency. bundle: the same without items,
     for an order source that is already at line grain.
     """
-    lines = orders if variant == BUNDLE else left_join_split(orders, items, "order_id")
+    lines = orders if variant == BUNDLE else orders.join(items, "order_id", "left")
     if variant == PG:
         return lines.select(*ORDER_PG)
     usd = F.lit("USD").alias("unified_currency")
@@ -118,7 +117,7 @@ def order(
         named = lines.join(names, "product_id", "left")
         converted = fx.convert(named, "total_amount", "currency", variant.book)
         return converted.select(*ORDER_HEADER, "product_id", "product_name", "quantity", "unified_amount", usd)
-    paid = left_join_split(lines, payments.select("order_id", "amount"), "order_id")
+    paid = lines.join(payments.select("order_id", "amount"), "order_id", "left")
     converted = fx.convert(paid, "amount", "currency", variant.book)
     if variant == BUNDLE:
         return converted.select(
