@@ -8,9 +8,9 @@ in place.
 
 from __future__ import annotations
 
-import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/{COMMITS}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
@@ -40,8 +40,25 @@ def _write_version(df: DataFrame, path: str, partition_by: Sequence[str]) -> str
     return version
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return filesystem.exists(target) and filesystem.delete(target, True)
+
+
+def _next_sequence(spark: SparkSession, path: str) -> int:
+    """The next commit number, claimed by creating its file: two writers never share one."""
+    taken = _commits(spark, path).agg(F.max("sequence")).first()[0] if exists(spark, f"{path}/{COMMITS}") else None
+    sequence = 1 if taken is None else taken + 1
+    while True:
+        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_claims/{sequence}")
+        if claim.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(claim):
+            return sequence
+        sequence += 1
+
+
 def _commit(spark: SparkSession, path: str, version: str) -> None:
-    entry = spark.range(1).select(F.lit(time.time_ns()).alias("sequence"), F.lit(version).alias("version"))
+    entry = spark.range(1).select(F.lit(_next_sequence(spark, path)).cast("bigint").alias("sequence"), F.lit(version).alias("version"))
     entry.coalesce(1).write.mode("append").parquet(f"{path}/{COMMITS}")
 
 
@@ -63,6 +80,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As ``stage``, but the written table is removed at the end of the block."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(df.sparkSession, path)
+
+
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full refresh: write a new version, then make it the current one."""
     version = _write_version(df, path, partition_by)
@@ -82,9 +110,7 @@ def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[s
     versions = [row["version"] for row in newest.collect()]
     removed = []
     for version in versions[keep:]:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{version}")
-        filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        if filesystem.exists(target) and filesystem.delete(target, True):
+        if _delete(spark, f"{path}/{version}"):
             removed.append(version)
     return removed
 
@@ -109,7 +135,7 @@ def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -
 
 def create_if_absent(df: DataFrame, path: str) -> DataFrame:
     """Write only when the table does not exist yet."""
-    if _exists(df.sparkSession, f"{path}/{COMMITS}"):
+    if exists(df.sparkSession, f"{path}/{COMMITS}"):
         return read(df.sparkSession, path)
     return replace(df, path)
 
@@ -117,13 +143,14 @@ def create_if_absent(df: DataFrame, path: str) -> DataFrame:
 def publish(df: DataFrame, observation: Observation, rules, table: str, path: str) -> dict[str, int]:
     """Write the output of ``expectations.apply`` and make it current unless a FAIL rule was violated.
 
-    Returns the observed counts. On failure the previous version stays current
-    and ``ExpectationFailed`` is raised; the unpublished version is never read.
+    Returns the observed counts. On failure the previous version stays current,
+    the unpublished one is removed and ``ExpectationFailed`` is raised.
     """
     version = _write_version(df, path, ())
     counts = observation.get
     failed = expect.failed_rules(counts, rules)
     if failed:
+        _delete(df.sparkSession, f"{path}/{version}")
         raise expect.ExpectationFailed(table, failed)
     _commit(df.sparkSession, path, version)
     return counts

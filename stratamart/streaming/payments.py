@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,53 +11,72 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratamart.operators import expectations as expect
 from stratamart.operators import ingest
+from stratamart.sources import sinks
 
-BATCH = "batch_id"
+RUN, BATCH = "run", "batch_id"
+LOADED, QUARANTINE, SUMMARY = "loaded", "quarantine", "summary"
 
 
-def _other_batches(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame:
-    """Rows earlier batches wrote, without a previous attempt of this one."""
-    written = spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(path)
-    return written.where(F.col(BATCH) != batch_id)
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a checkpoint gives its query: stable over restarts, new with a new checkpoint."""
+    text = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return json.loads(text)["id"]
 
 
-def upsert_batch(base: DataFrame, path: str) -> Callable[[DataFrame, int], None]:
+def _others(spark: SparkSession, path: str, schema: str, run: str, batch_id: int) -> DataFrame:
+    """Rows that other batches wrote, of this run or an earlier one, without a previous attempt of this batch."""
+    folder = f"{path}/{LOADED}"
+    if not sinks.exists(spark, folder):
+        return spark.createDataFrame([], schema).drop(RUN, BATCH)
+    written = spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(folder)
+    return written.where((F.col(RUN) != run) | (F.col(BATCH) != batch_id)).drop(RUN, BATCH)
+
+
+def upsert_batch(base: DataFrame, path: str, run: Callable[[], str] = lambda: "run") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that loads each micro-batch of mapped payments.
 
-    ``base`` is the payment table before streaming. Each batch owns the folder
-    ``batch_id=N`` and overwrites only that, and looks for known ids in the
-    base table and the *other* batches, so replaying a batch after a failure
-    writes the same rows again instead of adding them twice.
+    ``base`` is the payment table before streaming. Each batch owns the folders
+    ``run=R/batch_id=N`` of the loaded rows, the quarantine and the summary,
+    and overwrites only those. ``run`` names the checkpoint, so a new
+    checkpoint on an existing target numbers its batches anew without touching
+    what is loaded. Known are the base table and all *other* batches of all
+    runs, so replaying a batch writes the same rows again.
     """
     known_base = ingest.evolve(base).select("payment_id", "stripe_payment_id")
     # One row; the base does not change while the stream runs.
-    base_maximum = known_base.agg(F.max("payment_id")).first()[0]
-    schema = f"payment_id bigint, stripe_payment_id string, {BATCH} int"
+    base_maximum = known_base.agg(F.max("payment_id")).first()[0] or 0
+    schema = f"payment_id bigint, stripe_payment_id string, {RUN} string, {BATCH} int"
+    last: dict[str, int] = {}
 
     def load(mapped: DataFrame, batch_id: int) -> None:
-        spark = mapped.sparkSession
-        known = known_base
-        taken = spark.range(1).select(F.lit(base_maximum).cast("bigint").alias("payment_id"))
-        if batch_id > 0:
-            earlier = _other_batches(spark, path, schema, batch_id)
-            known = known.unionByName(earlier.select("payment_id", "stripe_payment_id"))
-            taken = taken.unionByName(earlier.select("payment_id"))
-        # The load reads the batch several times; keep it instead of re-reading the source.
-        mapped.persist()
-        try:
-            accepted = ingest.new_payments(mapped, known)
-            numbered = ingest.assign_ids(accepted, taken).select("payment_id", *ingest.LOADED_COLUMNS)
-            numbered.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        finally:
-            mapped.unpersist()
+        spark, name = mapped.sparkSession, run()
+        others = _others(spark, path, schema, name, batch_id)
+        own = f"{RUN}={name}/{BATCH}={batch_id}"
+        # The largest id is carried from batch to batch and looked up only at the start or on a replay.
+        if last.get("batch") != batch_id - 1:
+            last["maximum"] = max(base_maximum, others.agg(F.max("payment_id")).first()[0] or 0)
+        taken = spark.range(1).select(F.lit(last["maximum"]).cast("bigint").alias("payment_id"))
+        with sinks.staged(mapped, "stream_batch") as batch:
+            known = known_base.unionByName(others)
+            with sinks.staged(ingest.classify(batch, known), "stream_status") as judged:
+                accepted = judged.where(F.col("load_status") == ingest.INSERTED)
+                numbered = ingest.assign_ids(accepted, taken).select("payment_id", *ingest.LOADED_COLUMNS)
+                numbered.write.mode("overwrite").parquet(f"{path}/{LOADED}/{own}")
+                bad = judged.where(F.col("load_status") == ingest.ERROR).drop("load_status")
+                bad.write.mode("overwrite").parquet(f"{path}/{QUARANTINE}/{own}")
+                counts = ingest.summarise(judged)
+                counts.write.mode("overwrite").parquet(f"{path}/{SUMMARY}/{own}")
+        inserted = spark.read.parquet(f"{path}/{SUMMARY}/{own}").first()["payments_inserted"]
+        last.update(batch=batch_id, maximum=last["maximum"] + inserted)
 
     return load
 
 
 def stream_payments(mapped: DataFrame, base: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Load a stream of mapped payments, then stop when the input is used up."""
+    spark = base.sparkSession
     query = (
-        mapped.writeStream.foreachBatch(upsert_batch(base, path))
+        mapped.writeStream.foreachBatch(upsert_batch(base, path, lambda: _query_id(spark, checkpoint)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -66,8 +86,18 @@ def stream_payments(mapped: DataFrame, base: DataFrame, path: str, checkpoint: s
 
 
 def read_loaded(spark: SparkSession, path: str) -> DataFrame:
-    """All payments loaded by the stream."""
-    return spark.read.parquet(path).drop(BATCH)
+    """All payments loaded by the stream, over all its runs."""
+    return spark.read.parquet(f"{path}/{LOADED}").drop(RUN, BATCH)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """All rows the stream could not store, with their ``error_reason``."""
+    return spark.read.parquet(f"{path}/{QUARANTINE}").drop(RUN, BATCH)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Counts of every batch: read, inserted, skipped and in error."""
+    return spark.read.parquet(f"{path}/{SUMMARY}")
 
 
 def apply_stream(
@@ -77,21 +107,23 @@ def apply_stream(
 
     The rule counts of a batch are taken before anything is written, so a FAIL
     violation stops the query with that batch unpublished. Each batch owns its
-    folder, which makes a replay overwrite instead of append.
+    folders ``run=R/batch_id=N`` of rows and counts, which makes a replay
+    overwrite instead of append and leaves the batches of other runs alone.
     """
+    spark = df.sparkSession
 
     def enforce(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            failing = [rule for rule in rules if rule.action == expect.FAIL]
-            if failing:
-                counts = batch.agg(*[F.count_if(~rule.holds).alias(rule.name) for rule in failing]).first()
-                failed = expect.failed_rules(counts.asDict(), failing)
+        own = f"{RUN}={_query_id(spark, checkpoint)}/{BATCH}={batch_id}"
+        with sinks.staged(batch, "expectation_batch") as rows:
+            violated = [F.count_if(~rule.holds).alias(rule.name) for rule in rules]
+            with sinks.staged(rows.agg(F.count("*").alias("input_records"), *violated), "expectation_counts") as counts:
+                seen = counts.first().asDict()
+                failing = [rule for rule in rules if rule.action == expect.FAIL]
+                failed = expect.failed_rules({rule.name: seen[rule.name] for rule in failing}, failing)
                 if failed:
                     raise expect.ExpectationFailed(table, failed)
-            expect.keep(batch, rules).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        finally:
-            batch.unpersist()
+                counts.write.mode("overwrite").parquet(f"{path}/{SUMMARY}/{own}")
+            expect.keep(rows, rules).write.mode("overwrite").parquet(f"{path}/{LOADED}/{own}")
 
     query = (
         df.writeStream.foreachBatch(enforce)

@@ -43,6 +43,21 @@ def test_payments_over_several_batches(spark, rows, tmp_path):
     assert rows(payments.read_loaded(spark, target), "payment_id", "stripe_payment_id") == loaded
 
 
+def test_new_checkpoint_keeps_what_is_loaded(spark, rows, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    base = spark.createDataFrame([(1, "old")], "payment_id bigint, stripe_payment_id string")
+    bad = export("e", start=7, currency=None)
+    land(spark, export("a", "b") + bad, source)
+    load(spark, source, base, target, str(tmp_path / "cp1"))
+    other = str(tmp_path / "in2")
+    land(spark, export("b", "c"), other)
+    load(spark, other, base, target, str(tmp_path / "cp2"))
+    assert rows(payments.read_loaded(spark, target), "payment_id", "stripe_payment_id") == [(2, "a"), (3, "b"), (4, "c")]
+    assert rows(payments.read_quarantine(spark, target), "stripe_payment_id", "error_reason") == [("e", "currency is null")]
+    counts = payments.read_summary(spark, target)
+    assert rows(counts, "payments_read", "payments_inserted", "payments_skipped", "errors") == [(2, 1, 1, 0), (3, 2, 0, 1)]
+
+
 def test_replayed_batch_writes_the_same_rows(spark, rows, tmp_path):
     base = spark.createDataFrame([(10, "old")], "payment_id bigint, stripe_payment_id string")
     load_batch = payments.upsert_batch(base, str(tmp_path / "out"))
@@ -68,10 +83,10 @@ def test_stream_expectations_drop_and_fail(spark, rows, tmp_path):
         payments.apply_stream(stream, "order_silver", expect.ORDER_RULES, target, checkpoint)
 
     feed((1, 2), (2, 0), (3, None))
-    assert rows(spark.read.parquet(target), "order_id") == [(1,)]
+    assert rows(payments.read_loaded(spark, target), "order_id") == [(1,)]
     with pytest.raises(Exception, match="valid_order_id"):
         feed((4, 1), (None, 1))
-    assert rows(spark.read.parquet(target), "order_id") == [(1,)]
+    assert rows(payments.read_loaded(spark, target), "order_id") == [(1,)]
 
 
 def test_only_new_files_are_ingested(spark, tmp_path):
