@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratamart.sources import sinks
+
 FIELDS = "id string, amount_received bigint, currency string, created bigint, status string, customer string, description string"
 
 
@@ -34,6 +36,49 @@ def parse_payments(raw: DataFrame, keep_raw: bool = True) -> DataFrame:
     return parsed if keep_raw else parsed.drop("raw")
 
 
+def read_documents(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """``(document, block, line, data, error)``: one row per document, unreadable ones included.
+
+    ``error`` tells a broken document and one whose ``data`` is no array from
+    one without ``data``, which is allowed and has no payments. ``document``,
+    ``block`` and ``line`` order the documents; the result is written once, so
+    that they stay what they are.
+    """
+    text = (
+        spark.read.option("wholetext", multiline)
+        .text(path)
+        .select(F.col("_metadata.file_path").alias("document"), F.col("_metadata.file_block_start").alias("block"), "value")
+        .withColumn("line", F.monotonically_increasing_id())
+        .where(F.trim("value") != "")
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    parsed = F.from_json("value", "data array<string>, broken string", options)
+    error = F.when(F.json_object_keys("value").isNull(), "not a JSON object").when(
+        F.col("parsed.broken").isNotNull(), "broken, or data is not an array"
+    )
+    read = text.withColumn("parsed", parsed).select("document", "block", "line", "parsed.data", error.alias("error"))
+    return sinks.stage(read, "export_documents")
+
+
+def positioned_payments(documents: DataFrame, keep_raw: bool = True) -> DataFrame:
+    """Payments of the readable ``documents`` with ``position``: consecutive, by file, place in it and place in the document.
+
+    A position is what earlier file splits hold (a running sum over one row
+    per split), earlier documents of the split, and the index in the document.
+    """
+    sized = documents.where(F.col("error").isNull()).withColumn("elements", F.coalesce(F.size("data"), F.lit(0)).cast("bigint"))
+    earlier = (Window.unboundedPreceding, -1)
+    splits = sized.groupBy("document", "block").agg(F.sum("elements").alias("held")).select(
+        "document", "block",
+        F.coalesce(F.sum("held").over(Window.orderBy("document", "block").rowsBetween(*earlier)), F.lit(0)).alias("before_split"),
+    )
+    within = Window.partitionBy("document", "block").orderBy("line").rowsBetween(*earlier)
+    placed = sized.withColumn("before", F.coalesce(F.sum("elements").over(within), F.lit(0))).join(splits, ["document", "block"])
+    rows = explode_documents(placed.select("document", "data", (F.col("before_split") + F.col("before")).alias("start")))
+    rows = rows.withColumn("position", F.col("start") + F.col("index")).drop("start")
+    return parse_payments(rows, keep_raw)
+
+
 def read_payment_export(
     spark: SparkSession, path: str, multiline: bool = True, keep_raw: bool = True
 ) -> DataFrame:
@@ -41,11 +86,14 @@ def read_payment_export(
 
     ``multiline``: every file is one document, read by one task. For large
     exports use one document per line (``multiline=False``), which splits.
-    ``document`` and ``index`` give the place inside the export.
+    ``document`` and ``index`` give the place inside the export. Documents that
+    cannot be read raise; ``read_documents`` returns them as rows instead, and
+    ``positioned_payments`` adds the order that the loader needs.
     """
     documents = (
         spark.read.schema("data array<string>")
         .option("multiLine", multiline)
+        .option("mode", "FAILFAST")
         .json(path)
         .select("data", F.col("_metadata.file_path").alias("document"))
     )

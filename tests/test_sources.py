@@ -74,3 +74,20 @@ def test_local_folders_are_for_local_masters_only(master, folder):
             session.shared_folder(fake)
     else:
         assert session.shared_folder(fake) == (folder or session.shared_folder(fake)).rstrip("/")
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_documents_and_positions(spark, tmp_path, multiline):
+    """Broken documents are rows with an error; positions follow files, documents and elements."""
+    one = lambda *ids: json.dumps({"data": [{"id": i, "currency": "usd"} for i in ids]})
+    files = [[one("a", "b"), '{"other": 1}', one("c")], ['{"data": [{"id"', '{"data": {"id": 1}}', "[1]", '{"data": null}', one("d", "e")]]
+    for k, texts in enumerate(files):
+        if multiline:
+            for j, text in enumerate(texts):
+                (tmp_path / f"{k}{j}.json").write_text(text)
+        else:
+            (tmp_path / f"{k}.json").write_text("\n".join(texts) + "\n\n")
+    documents = payment_export.read_documents(spark, str(tmp_path), multiline)
+    assert documents.count() == 8 and documents.where("error IS NOT NULL").count() == 3
+    placed = payment_export.positioned_payments(documents).select("position", "id").collect()
+    assert sorted(tuple(r) for r in placed) == [(0, "a"), (1, "b"), (2, "c"), (3, "d"), (4, "e")]
