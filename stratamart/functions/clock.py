@@ -6,8 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Seconds from year 1 to year 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def from_epoch(seconds: Column) -> Column:
-    """UTC wall-clock time of an epoch."""
+    """UTC wall-clock time of an epoch; NULL outside the years 1 to 9999."""
+    seconds = F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
     return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 

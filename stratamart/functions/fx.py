@@ -118,7 +118,8 @@ def to_usd(
     """Minor units -> USD with two decimals; unknown currencies use rate 1.
 
     Every currency is divided by 100 unless listed in ``zero_decimal`` (the
-    default reproduces the plain division, also for yen).
+    default reproduces the plain division, also for yen). What does not fit
+    ``decimal(18,2)`` becomes NULL, so one record cannot stop a batch.
     """
     rate = F.coalesce(F.col("fx_rate"), F.lit(1).cast(RATE_TYPE))
     cents = F.col(minor_units).cast("decimal(19,0)")
@@ -126,7 +127,7 @@ def to_usd(
     if zero_decimal:
         whole = F.lit(1).cast("decimal(3,2)")
         unit = F.when(F.lower(F.col(currency)).isin(*zero_decimal), whole).otherwise(unit)
-    usd = (cents * unit * rate).cast("decimal(18,2)")
+    usd = (cents * unit * rate).try_cast("decimal(18,2)")
     return (
         _with_rate(df, F.lower(df[currency]), book)
         .withColumn(out, usd)

@@ -6,6 +6,9 @@ batch. ``position`` is a BIGINT giving the file order.
 
 Classifying and numbering read the mapped batch several times. Pass a staged
 batch (``sinks.stage``), so that the JSON is parsed once.
+
+``amount_received`` and ``created`` are whole numbers; a fraction is
+quarantined rather than cut.
 """
 
 from __future__ import annotations
@@ -35,7 +38,6 @@ STRIPE_COLUMNS = {
 # Length limits of the text columns, and the amount's decimal(10,2) limit.
 TEXT_LIMITS = {"stripe_payment_id": 255, "stripe_status": 50, "stripe_currency": 3, "stripe_customer_id": 255}
 AMOUNT_LIMIT = 100_000_000
-REASON_LENGTH = 50
 
 LOADED_COLUMNS = ("amount", "payment_date", *STRIPE_COLUMNS)
 
@@ -70,7 +72,10 @@ def map_payments(parsed: DataFrame, zero_decimal: tuple[str, ...] = ()) -> DataF
             "stripe_amount_cents": _given("amount_received", 0).cast("bigint"),
             "stripe_created_timestamp": _given("created", 0).cast("bigint"),
             "stripe_description": F.col("description"),
-            "stripe_metadata": F.coalesce(_given("metadata", "{}"), F.lit("null")),
+            # NULL only where the element is no JSON object at all.
+            "stripe_metadata": F.when(
+                F.col("present_keys").isNotNull(), F.coalesce(_given("metadata", "{}"), F.lit("null"))
+            ),
         }
     )
     priced = fx.to_usd(named, "stripe_amount_cents", "stripe_currency", out="stripe_amount_usd", zero_decimal=zero_decimal)
@@ -84,29 +89,36 @@ def map_payments(parsed: DataFrame, zero_decimal: tuple[str, ...] = ()) -> DataF
     return loaded.select("position", *LOADED_COLUMNS, *extra)
 
 
-def error_reason() -> Column:
-    """Why a mapped row cannot be stored, NULL if it can."""
+def error_reason(text_limits: dict[str, int] | None = None, amount_limit: int = AMOUNT_LIMIT) -> Column:
+    """Why a mapped row cannot be stored, NULL if it can.
+
+    The limits are those of the columns loaded into; pass others for a wider
+    target. Rows beyond them are quarantined, never cut.
+    """
     checks = [
+        (F.col("stripe_metadata").isNull(), "not a JSON object"),
         (F.col("stripe_currency").isNull(), "currency is null"),
         (F.col("stripe_amount_cents").isNull(), "amount_received is null or not a number"),
         (F.col("stripe_created_timestamp").isNull(), "created is null or not a number"),
-        (F.abs("stripe_amount_usd") >= AMOUNT_LIMIT, "numeric field overflow in stripe_amount_usd"),
+        (F.col("payment_date").isNull(), "created is out of range"),
+        (F.col("stripe_amount_usd").isNull(), "amount_received is out of range"),
+        (F.abs("stripe_amount_usd") >= amount_limit, "numeric field overflow in stripe_amount_usd"),
     ]
     checks += [
-        (F.length(name) > limit, f"value too long for {name} ({limit})") for name, limit in TEXT_LIMITS.items()
+        (F.length(name) > limit, f"value too long for {name} ({limit})") for name, limit in (TEXT_LIMITS if text_limits is None else text_limits).items()
     ]
-    reasons = [F.when(failed, F.substring(F.lit(text), 1, REASON_LENGTH)) for failed, text in checks]
+    reasons = [F.when(failed, F.lit(text)) for failed, text in checks]
     return F.coalesce(*reasons)
 
 
-def split_valid(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Storable rows, and the quarantine with an ``error_reason``."""
-    judged = mapped.withColumn("error_reason", error_reason())
+def split_valid(mapped: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:
+    """Storable rows, and the quarantine with an ``error_reason``; ``limits`` as for ``error_reason``."""
+    judged = mapped.withColumn("error_reason", error_reason(**limits))
     good = judged.where(F.col("error_reason").isNull()).drop("error_reason")
     return good, judged.where(F.col("error_reason").isNotNull())
 
 
-def classify(mapped: DataFrame, target: DataFrame) -> DataFrame:
+def classify(mapped: DataFrame, target: DataFrame, **limits) -> DataFrame:
     """Add ``load_status`` and ``error_reason`` to every mapped row.
 
     A known id is skipped. Otherwise the first storable row of an id, in file
@@ -115,7 +127,7 @@ def classify(mapped: DataFrame, target: DataFrame) -> DataFrame:
     The decision per id is an aggregate, so a much-repeated id collapses before
     the shuffle; joining it back splits on the row side if that id is hot.
     """
-    judged = mapped.withColumn("error_reason", error_reason())
+    judged = mapped.withColumn("error_reason", error_reason(**limits))
     in_batch = judged.where(F.col("stripe_payment_id").isNotNull()).select(
         "stripe_payment_id",
         F.when(F.col("error_reason").isNull(), F.col("position")).alias("first_storable"),
@@ -182,8 +194,13 @@ def load(mapped: DataFrame, target: DataFrame) -> DataFrame:
 
 def load_summary(mapped: DataFrame, target: DataFrame) -> DataFrame:
     """One row: payments read, inserted, skipped and in error."""
+    return summarise(classify(mapped, target))
+
+
+def summarise(classified: DataFrame) -> DataFrame:
+    """The load summary of rows that ``classify`` has judged."""
     status = F.col("load_status")
-    return classify(mapped, target).agg(
+    return classified.agg(
         F.count("*").alias("payments_read"),
         F.count_if(status == INSERTED).alias("payments_inserted"),
         F.count_if(status == SKIPPED).alias("payments_skipped"),
