@@ -22,12 +22,14 @@ REPEAT_TYPE = "decimal(9,0)"
 
 def _payments_per_order(orders: DataFrame, payments: DataFrame, variant: Variant) -> DataFrame:
     """Orders with ``unified_amount`` over all payments and ``payment_rows`` (1 when unpaid)."""
-    paid = payments.groupBy("order_id").agg(
-        F.sum("amount").alias("paid"), F.count("*").alias("payment_rows")
+    # Each payment is converted and rounded by itself, as in the Silver table; equal
+    # amounts of an order are still counted before the shuffle.
+    paid = payments.groupBy("order_id", F.col("amount").alias("paid")).agg(F.count("*").alias("times"))
+    joined = fx.convert(orders.join(paid, "order_id", "left"), "paid", "currency", variant.book)
+    times = F.coalesce("times", F.lit(1))
+    return joined.groupBy(*orders.columns).agg(
+        F.sum(F.col("unified_amount") * times.cast(REPEAT_TYPE)).cast(fx.UNIFIED_TYPE).alias("unified_amount"), F.sum(times).alias("payment_rows")
     )
-    joined = orders.join(paid, "order_id", "left").withColumn("payment_rows", F.coalesce("payment_rows", F.lit(1)))
-    # Conversion is linear, so the sum is converted once per order.
-    return fx.convert(joined.withColumn("paid", F.col("paid").cast("decimal(18,2)")), "paid", "currency", variant.book)
 
 
 def order_totals(

@@ -83,7 +83,7 @@ def run(
             flows[name] = (observation.get["records"], {})
         return published
     except Exception as failure:
-        state, error = "FAILED", str(failure)[:500]
+        state, error = "FAILED", str(failure)
         raise
     finally:
         entries = monitor.run_entries(spark, update_id, started, _now(), state, cause, error, flows)

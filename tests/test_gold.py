@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamart.functions.geography import COUNTRY_NAMES, map_region
-from stratamart.operators import analysis, gold
+from stratamart.operators import analysis, gold, silver
 from stratamart.plans import direct
 from stratamart.plans.variants import DECLARATIVE, NOTEBOOK, PG
 from verification.registry import Tables
@@ -54,6 +54,22 @@ def test_direct_totals_count_every_payment_and_line(spark, rows):
     assert rows(lines) == [(5, 5, Decimal("8.00000000")), (6, 6, Decimal("8.00000000"))]
 
 
+def test_many_small_payments_equal_the_silver_sum(spark):
+    """0, 1, 3 and 200 payments per order: every payment is rounded by itself in both forms."""
+    orders = spark.createDataFrame(
+        [(k, 9, "completed", "Yuan Renminbi", Decimal(10)) for k in (1, 2, 3, 4)],
+        "order_id bigint, customer_id bigint, order_status string, currency string, total_amount decimal(18,2)",
+    )
+    header = orders.selectExpr("*", "1L shipping_address_id", "date'2024-01-01' order_date", "total_amount subtotal", "total_amount discount_amount")
+    items = spark.createDataFrame([(k, 5, 2) for k in (1, 2, 3, 4)], "order_id bigint, product_id bigint, quantity int")
+    paid = [(2, Decimal("1.37"))] + [(3, Decimal("0.01"))] * 3 + [(4, Decimal("0.01"))] * 200
+    payments = spark.createDataFrame(paid, "order_id bigint, amount decimal(18,2)")
+    lines = silver.order(header, items, payments, variant=DECLARATIVE)
+    expected = {r.order_id: r.total for r in lines.groupBy("order_id").agg(F.sum("unified_amount").alias("total")).collect()}
+    totals = {r.order_id: r.amount for r in direct.order_totals(orders, items, payments, DECLARATIVE).collect()}
+    assert totals == expected and totals[1] is None
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_sales_by_place_against_brute_force(spark, seed):
     """Hot customer, several addresses per customer, and order ids shared between customers."""
