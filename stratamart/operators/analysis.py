@@ -19,9 +19,9 @@ def top(df: DataFrame, metric: str, n: int, *ties: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(metric), *ties).limit(n)
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """Any ``n`` rows."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 10, *keys: str) -> DataFrame:
+    """``n`` rows: the first by ``keys``, or any without keys."""
+    return (df.orderBy(*keys) if keys else df).limit(n)
 
 
 # --- products -------------------------------------------------------------------
@@ -214,7 +214,7 @@ def region_summary(sales_region: DataFrame) -> DataFrame:
     return sales_region.agg(
         F.count("*").alias("total_regions"),
         F.sum("total_sales").alias("total_sales"),
-        F.max_by("region", "total_sales").alias("top_region"),
+        F.min_by("region", F.struct((-F.col("total_sales")).alias("least"), "region")).alias("top_region"),
         F.max("total_sales").alias("top_region_sales"),
     )
 

@@ -95,7 +95,7 @@ class Sources:
         return self.raw("customer").select(
             key.alias("customer_id"),
             F.when(key % 30 != 0, "Customer").alias("first_name"),
-            F.substring("c_name", 10, 100).alias("last_name"),
+            F.substring("c_name", 10, F.length("c_name")).alias("last_name"),
             F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com")).alias("email"),
             F.when(key % 50 != 0, F.col("c_acctbal") >= 0).alias("is_active"),
             F.col("c_mktsegment").alias("customer_type_id"),

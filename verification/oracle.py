@@ -347,6 +347,12 @@ ORACLES = {
                CAST(sum(l_partkey) AS BIGINT) AS product_ids
         FROM (SELECT *, CAST(floor(l_quantity) AS INT) AS quantity FROM lineitem) GROUP BY 1""",
     "s3_payment_export": "SELECT id, amount_received, currency, created, status, customer, description FROM x_export",
+    "s4_export_documents": """
+        SELECT kind IN (0, 2) AS readable, count(DISTINCT chunk) AS documents, count(*) FILTER (kind = 0) AS payments
+        FROM (SELECT position // 100 AS chunk, (position // 100) % 4 AS kind FROM x_export) GROUP BY 1""",
+    "q4_stream_rule_counts": """
+        SELECT count(*) AS input_records, count(*) FILTER (order_id IS NULL) AS valid_order_id,
+               count(*) FILTER (NOT coalesce(quantity > 0, false)) AS valid_quantity FROM x_item""",
     "s5_raw_payload": """
         SELECT concat('pi_', CAST(event_id // 4 AS VARCHAR)) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS created,
                json_extract_string(props, '$.k') AS metadata_k, CASE WHEN user_id % 8 = 7 THEN 6 ELSE 7 END AS keys
@@ -367,12 +373,16 @@ ORACLES = {
     "k2_create_if_absent": "SELECT customer_id, first_name, last_name, email, is_active, customer_type_id FROM x_customer",
     "k3_append_new_files_only": "SELECT o_orderstatus, count(*) AS row_count FROM orders GROUP BY 1",
     "k4_publish": f"SELECT {CUSTOMER_FULL} FROM x_customer_kept",
+    "k4_publish_failed": f"SELECT {CUSTOMER_FULL} FROM x_customer_kept",
     # payment ingest
     "i1_map_payments": f"SELECT {MAPPED} FROM x_mapped",
     "i3_new_payments": f"SELECT position, stripe_payment_id, {_d('amount')} FROM x_status WHERE load_status = 'inserted'",
     "i4_assign_ids": """
         SELECT position, (SELECT max(payment_id) FROM x_payment) + row_number() OVER (ORDER BY position) AS payment_id,
                stripe_payment_id FROM x_status WHERE load_status = 'inserted'""",
+    "i4_export_to_payments": """
+        SELECT (SELECT max(payment_id) FROM x_payment) + row_number() OVER (ORDER BY position) AS payment_id,
+               stripe_payment_id FROM x_status WHERE load_status = 'inserted'""",
     "i5_to_usd": f"SELECT position, currency, amount_received, {_d(_usd('amount_received', 'currency'), 'amount_usd')} FROM x_export",
     "i5_to_usd_zero_decimal": f"""
         SELECT position, currency, amount_received,
@@ -418,6 +428,7 @@ ORACLES = {
     "v1_product_pg": f"SELECT product_id, product_name, {_d('price')}, is_active, category_name, brand_name FROM x_product_active",
     "v1_product_notebook": f"SELECT {PRODUCT_COLUMNS}, category_name, brand_name FROM x_product_active",
     "v1_product_declarative": f"SELECT {PRODUCT_COLUMNS}, category_name, brand_name FROM x_product",
+    "t4k_preview": f"SELECT {PRODUCT_COLUMNS}, category_name, brand_name FROM x_product ORDER BY product_id LIMIT 10",
     "v1_product_bundle": f"SELECT product_id, product_name, {_d('price')}, category_name, brand_name FROM x_product",
     "v2_customer_pg": """
         SELECT customer_id, concat(coalesce(first_name, ''), ' ', coalesce(last_name, '')) AS customer_name, email,
@@ -532,7 +543,7 @@ ORACLES = {
         "category_name", "total_quantity", 0.17),
     "a2_bucket_order_quantity": _bucket(
         "(SELECT quantity, count(DISTINCT order_id) AS order_count FROM x_order_notebook GROUP BY 1)",
-        "quantity", "order_count", 0.03),
+        "quantity", "order_count", 0.02),
     "a3_top_products_revenue": f"""
         SELECT product_id, product_name, {_d('related_revenue')}, {_i('total_quantity')} FROM x_revenue_notebook
         ORDER BY x_revenue_notebook.related_revenue DESC, product_id LIMIT 10""",
@@ -585,8 +596,13 @@ ORACLES = {
         SELECT count(*) AS products_analyzed, {_d('sum(total_profit)', 'total_profit')},
                {_d('avg(profit_margin)', 'avg_profit_margin', 6)}, min(product_name) FILTER (rank = 1) AS top_product
         FROM (SELECT *, row_number() OVER (ORDER BY total_profit DESC, product_id) AS rank FROM x_profit) WHERE rank <= 20""",
+    "a11_profit_summary_all": f"""
+        SELECT count(*) AS products_analyzed, {_d('sum(total_profit)', 'total_profit')},
+               {_d('avg(profit_margin)', 'avg_profit_margin', 6)}, min(product_name) FILTER (rank = 1) AS top_product
+        FROM (SELECT *, row_number() OVER (ORDER BY total_profit DESC, product_id) AS rank FROM x_profit)""",
     "a12_region_summary": f"""
-        SELECT count(*) AS total_regions, {_d('sum(total_sales)', 'total_sales')}, arg_max(region, total_sales) AS top_region,
+        SELECT count(*) AS total_regions, {_d('sum(total_sales)', 'total_sales')},
+               (SELECT region FROM x_region_declarative ORDER BY x_region_declarative.total_sales DESC, region LIMIT 1) AS top_region,
                {_d('max(total_sales)', 'top_region_sales')} FROM x_region_declarative""",
     "a13_region_share": f"""
         SELECT region, {_d('total_sales')},
@@ -735,6 +751,12 @@ ORACLES = {
     "st5_streaming_payment_load": f"""
         SELECT (SELECT max(payment_id) FROM x_payment) + row_number() OVER (ORDER BY position) AS payment_id,
                stripe_payment_id, {_d('amount')} FROM x_status WHERE load_status = 'inserted'""",
+    "st5_restarted_load": """
+        SELECT count(*) AS loaded, count(*) AS payments, count(*) AS ids,
+               (SELECT max(payment_id) FROM x_payment) + 1 AS first_id, (SELECT max(payment_id) FROM x_payment) + count(*) AS last_id
+        FROM x_status WHERE load_status = 'inserted'""",
+    "st5_quarantine": "SELECT position, stripe_payment_id, error_reason FROM x_status WHERE load_status = 'error'",
+    "st6_continuous_ingest": "SELECT * FROM orders",
     "st7_latest_by_key": """
         SELECT user_id, ts, event_id, event_type, value FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""",

@@ -165,6 +165,27 @@ def s3_payment_export(t):
     return _export(t).select("id", "amount_received", "currency", "created", "status", "customer", "description")
 
 
+@query
+def s4_export_documents(t):
+    """Readable, broken, keyless and misshapen documents, one per line, told apart."""
+    path = t.scratch("payment_documents")
+    chunk = F.floor(F.col("position") / 100).alias("chunk")
+    texts = t.export_elements().groupBy(chunk).agg(F.concat_ws(",", F.collect_list("raw")).alias("raw"))
+    kind, raw = F.col("chunk") % 4, F.col("raw")
+    document = (
+        F.when(kind == 0, F.concat(F.lit('{"data":['), raw, F.lit("]}")))
+        .when(kind == 1, F.concat(F.lit('{"data":['), raw))
+        .when(kind == 2, F.lit('{"other":1}'))
+        .otherwise(F.lit('{"data":{"id":"x"}}'))
+    )
+    texts.select(document.alias("value")).write.text(path)
+    documents = payment_export.read_documents(t.spark, path, multiline=False)
+    payments = F.sum(F.when(F.col("error").isNull(), F.coalesce(F.size("data"), F.lit(0))).otherwise(0))
+    return documents.groupBy(F.col("error").isNull().alias("readable")).agg(
+        F.count("*").alias("documents"), payments.cast("bigint").alias("payments")
+    )
+
+
 @query
 def s5_raw_payload(t):
     raw = F.col("raw")
@@ -246,6 +267,21 @@ def k4_publish(t):
     return sinks.read(t.spark, path)
 
 
+@query
+def k4_publish_failed(t):
+    """A violated FAIL rule leaves the earlier version in place."""
+    path = t.scratch("customer_silver")
+    kept, observation = expect.apply(t.customer_raw(DECLARATIVE), "customer_silver", expect.CUSTOMER_RULES)
+    sinks.publish(kept, observation, expect.CUSTOMER_RULES, "customer_silver", path)
+    rules = (expect.Expectation("never_holds", "customer_id < 0", expect.FAIL),)
+    kept, observation = expect.apply(t.customer_raw(DECLARATIVE), "customer_silver", rules)
+    try:
+        sinks.publish(kept, observation, rules, "customer_silver", path)
+    except expect.ExpectationFailed:
+        return sinks.read(t.spark, path)
+    raise AssertionError("the violated rule was not noticed")
+
+
 # --- payment ingest -------------------------------------------------------------
 
 
@@ -265,6 +301,20 @@ def i4_assign_ids(t):
     return ingest.assign_ids(accepted, t.payment()).select("position", "payment_id", "stripe_payment_id")
 
 
+@query
+def i4_export_to_payments(t):
+    """From written export files, in their order, to numbered payments."""
+    path = t.scratch("payment_export")
+    chunk = F.floor(F.col("position") / 100).alias("chunk")
+    texts = t.export_elements().groupBy(chunk).agg(F.array_sort(F.collect_list(F.struct("position", "raw"))).alias("rows"))
+    document = F.concat(F.lit('{"data":['), F.array_join(F.col("rows.raw"), ","), F.lit("]}"))
+    texts.repartitionByRange(4, "chunk").sortWithinPartitions("chunk").select(document.alias("value")).write.text(path)
+    documents = payment_export.read_documents(t.spark, path, multiline=False)
+    mapped = sinks.stage(ingest.map_payments(payment_export.positioned_payments(documents, keep_raw=False)), "payments_mapped")
+    accepted = sinks.stage(ingest.new_payments(mapped, t.payment()), "accepted_payments")
+    return ingest.assign_ids(accepted, t.payment()).select("payment_id", "stripe_payment_id")
+
+
 @query
 def i5_to_usd(t):
     return fx.to_usd(t.payments_parsed(), "amount_received", "currency").select(
@@ -467,7 +517,18 @@ def q4_stream_expectations(t):
     t.order_item().write.parquet(source)
     stream = bronze.bronze_stream(t.spark, source, t.order_item().schema)
     payment_stream.apply_stream(stream, "order_silver", expect.ORDER_RULES, path, t.scratch("checkpoint"))
-    return t.spark.read.parquet(path).drop(payment_stream.BATCH)
+    return payment_stream.read_loaded(t.spark, path)
+
+
+@query
+def q4_stream_rule_counts(t):
+    """The rule counts that the streamed expectations leave behind."""
+    path, source = t.scratch("order_silver"), t.scratch("order_lines")
+    t.order_item().write.parquet(source)
+    stream = bronze.bronze_stream(t.spark, source, t.order_item().schema)
+    payment_stream.apply_stream(stream, "order_silver", expect.ORDER_RULES, path, t.scratch("checkpoint"))
+    counts = [F.sum(name).alias(name) for name in ("input_records", *(rule.name for rule in expect.ORDER_RULES))]
+    return payment_stream.read_summary(t.spark, path).agg(*counts)
 
 
 # --- gold -----------------------------------------------------------------------
@@ -606,7 +667,7 @@ def a2_bucket_category(t):
 @query
 def a2_bucket_order_quantity(t):
     return analysis.bucket_small(
-        analysis.order_quantity_distribution(t.order_silver(NOTEBOOK)), "quantity", "order_count", 0.03
+        analysis.order_quantity_distribution(t.order_silver(NOTEBOOK)), "quantity", "order_count", 0.02
     )
 
 
@@ -685,6 +746,11 @@ def a11_profit_summary(t):
     return analysis.profit_summary(t.product_profit(), 20)
 
 
+@query
+def a11_profit_summary_all(t):
+    return analysis.profit_summary(t.product_profit(), None)
+
+
 @query
 def a12_region_summary(t):
     return analysis.region_summary(t.sales_region(DECLARATIVE))
@@ -712,8 +778,7 @@ def a15_payment_trend(t):
 
 @query
 def t4k_preview(t):
-    """Any ten rows, so only their number can be checked."""
-    return analysis.preview(t.product_silver(DECLARATIVE), 10)
+    return analysis.preview(t.product_silver(DECLARATIVE), 10, "product_id")
 
 
 # --- data quality ---------------------------------------------------------------
@@ -894,6 +959,46 @@ def st5_streaming_payment_load(t):
     return payment_stream.read_loaded(t.spark, path).select("payment_id", "stripe_payment_id", "amount")
 
 
+def _payments_in_files(t) -> tuple[str, DataFrame]:
+    """The export elements in several files, as a stream of one file a batch."""
+    source = t.scratch("payment_elements")
+    t.export_elements().repartitionByRange(3, "position").write.parquet(source)
+    stream = bronze.bronze_stream(t.spark, source, t.export_elements().schema, max_files=1)
+    return t.scratch("payment_loaded"), ingest.map_payments(payment_export.parse_payments(stream))
+
+
+@query
+def st5_restarted_load(t):
+    """Several batches, then all of them again on a new checkpoint: nothing is lost, doubled or renumbered."""
+    path, mapped = _payments_in_files(t)
+    payment_stream.stream_payments(mapped, t.payment(), path, t.scratch("checkpoint"))
+    payment_stream.stream_payments(mapped, t.payment(), path, t.scratch("checkpoint"))
+    return payment_stream.read_loaded(t.spark, path).agg(
+        F.count("*").alias("loaded"), F.countDistinct("stripe_payment_id").alias("payments"),
+        F.countDistinct("payment_id").alias("ids"), F.min("payment_id").alias("first_id"), F.max("payment_id").alias("last_id"),
+    )
+
+
+@query
+def st5_quarantine(t):
+    """What the streamed load could not store."""
+    events = bronze.bronze_stream(t.spark, f"{t.folder}/events*.parquet", t.raw("events").schema)
+    mapped = ingest.map_payments(payment_export.parse_payments(t.export_elements(events)))
+    path = t.scratch("payment_loaded")
+    payment_stream.stream_payments(mapped, t.payment(), path, t.scratch("checkpoint"))
+    return payment_stream.read_quarantine(t.spark, path).select("position", "stripe_payment_id", "error_reason")
+
+
+@query
+def st6_continuous_ingest(t):
+    """A continuous ingest, stopped once it has caught up."""
+    path = t.scratch("orders_bronze")
+    running = bronze.start_continuous(_orders_stream(t), path, t.scratch("checkpoint"), "1 second")
+    running.processAllAvailable()
+    running.stop()
+    return bronze.read_bronze(t.spark, path)
+
+
 @query
 def st7_latest_by_key(t):
     """The newest event of every user, from the event feed as a change log."""
