@@ -763,6 +763,10 @@ ORACLES = {
 }
 
 
+for _run, _same in (("pg", "g1_product_revenue_pg"), ("notebook", "g2_product_revenue_notebook"), ("bundle", "g4_product_profit_bundle")):
+    ORACLES[f"m10_run_{_run}"] = ORACLES[_same]
+
+
 def _needed(text: str, found: dict[str, None]) -> None:
     """Collect the views ``text`` refers to, dependencies first."""
     for name in re.findall(r"\bx_\w+", text):

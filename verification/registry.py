@@ -904,6 +904,31 @@ def m10_record_run(t):
     )
 
 
+def _full_run(t, variant, bronze, name) -> DataFrame:
+    """A full run of one form, its log read for success, and one of its published tables."""
+    log_path = t.scratch("run_log")
+    tables = medallion.run(t.spark, bronze, t.scratch("tables"), log_path, variant=variant)
+    if monitor.read_log(t.spark, log_path).where(F.col("event_type") == monitor.FLOW).isEmpty():
+        raise AssertionError("the run left no log")
+    return tables[name]
+
+
+@query
+def m10_run_pg(t):
+    return _full_run(t, PG, t.bronze(), "product_revenue_gold")
+
+
+@query
+def m10_run_notebook(t):
+    return _full_run(t, NOTEBOOK, t.bronze(), "product_revenue_gold")
+
+
+@query
+def m10_run_bundle(t):
+    bronze = {"product": t.product_named(), "orders": t.order_lines(), "payment_postgres": t.payment()}
+    return _full_run(t, BUNDLE, bronze, "product_profit_gold")
+
+
 # --- streaming ------------------------------------------------------------------
 
 
