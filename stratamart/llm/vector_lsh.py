@@ -125,7 +125,7 @@ def settings(n: int, length: int) -> tuple[int, int]:
     """(tables, hashes): so many hashes that unlike vectors seldom meet among n, and tables that make up for it."""
     d = 1 << max(1, (length - 1).bit_length())
     hashes = 1
-    while (2 * d) ** hashes < 32 * n and hashes < len(TABLES):
+    while (2 * d) ** hashes < 512 * n and hashes < len(TABLES):
         hashes += 1
     return TABLES[hashes - 1], hashes
 
