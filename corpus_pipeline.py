@@ -36,7 +36,7 @@ STAGES = [
     ("mixing sources", mix_sources),
 ]
 
-# The trained models have no SQL form; tests/llm holds the result against the stages' brute-force forms.
+# The trained models have no SQL form; tests/llm holds every stage against a brute-force version.
 ORACLE_SQL = None
 
 

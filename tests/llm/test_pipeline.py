@@ -1,24 +1,66 @@
+from collections import Counter
+
 import duckdb
 import pytest
 
 import corpus_pipeline
-from stratamart.llm import decontamination, jaccard_join, mixing, pii, registry
+from stratamart.llm import decontamination, mixing, pii, registry, toxicity
+
+from .test_dedup import brute_links
+from .test_filters import brute_spans
+from .test_models import brute_targets
+
 
+def contaminated(text, items):
+    windows = set()
+    for item in items:
+        w = decontamination.words_of(item)
+        windows |= {tuple(w[i : i + 13]) for i in range(max(1, len(w) - 12) if w else 0)}
+    words, hit = decontamination.words_of(text), set()
+    for n in {len(w) for w in windows}:
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in windows:
+                hit |= set(range(i, i + n))
+    return bool(hit) and 20 * len(hit) >= len(words)
 
-def test_stages_keep_the_columns_and_narrow_the_rows(spark, sf, tmp_path):
+
+def test_pipeline_equals_brute_force(spark, sf, tmp_path):
+    """Each stage on its own input against a plain version of it; the toxicity model is asked, not rebuilt."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    columns, before = docs.columns, docs.count()
+    columns, seen = docs.columns, [{r.doc_id: r for r in docs.collect()}]
     for k, (_, apply) in enumerate(corpus_pipeline.STAGES[:-1]):
         apply(spark, docs, sf).write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
-        assert docs.columns == columns and docs.count() <= before
-        before = docs.count()
-    assert jaccard_join.near_duplicates(docs).filter("n_links > 0").count() == 0
-    assert decontamination.contamination(docs, spark.read.parquet(f"{sf}/benchmark.parquet")).filter("contaminated").count() == 0
-    assert pii.found_spans(docs).filter("exists(base, x -> x)").count() == 0
-    copies = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert {r.doc_id: r["count"] for r in last.groupBy("doc_id").count().collect()} == {k: v for k, v in copies.items() if v}
+        assert docs.columns == columns
+        seen.append({r.doc_id: r for r in docs.collect()})
+    first, clean, single, untested, redacted = seen
+
+    model, _ = toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert set(clean) == {i for i, r in first.items() if model.score(r.text) < 0.7}
+
+    rows = sorted((i, r.text) for i, r in clean.items())
+    _, roots = brute_links(rows)
+    assert set(single) == {rows[k][0] for k, root in enumerate(roots) if root == k}
+
+    items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    assert set(untested) == {i for i, r in single.items() if not contaminated(r.text, items)}
+
+    assert set(redacted) == set(untested)
+    for i, r in redacted.items():
+        spans = brute_spans(untested[i].text)
+        assert r.text == pii.redact_text(untested[i].text, spans) and r.n_chars == (len(r.text) if spans else untested[i].n_chars)
+
+    sizes, taken, longest = Counter(), Counter(), Counter()
+    for r in redacted.values():
+        n = len((r.text or "").encode().split())
+        sizes[r.source] += n
+        longest[r.source] = max(longest[r.source], n)
+    mixed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    for r in mixed:
+        assert r.text == redacted[r.doc_id].text and 1 <= r.repetition <= 3
+        taken[r.source] += len(r.text.encode().split())
+    assert all(abs(taken[s] - t) <= longest[s] for s, t in brute_targets(sizes).items())
+    assert sorted((r.doc_id, r.repetition) for r in mixed) == sorted((r.doc_id, k) for r in mixing.mix(docs).collect() for k in range(1, r.copies + 1))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
