@@ -58,8 +58,8 @@ def exact_percentile(
     """Exact interpolated percentile of a BIGINT ``ordinal`` per ``keys``.
 
     Built-in exact percentiles hold every distinct value of a group in one
-    task. This narrows the rank down three digits instead: counts per value
-    are rolled up to counts per 16- and 32-bit prefix, and the digit holding
+    task. This narrows the rank down four digits instead: counts per value
+    are rolled up to counts per prefix of 48, 32 and 16 bits, and the digit holding
     the wanted rank is located level by level. ``unit`` scales the result
     (for example cents to currency). NULL ordinals are ignored; ``keys`` may be
     empty, and groups without values are absent.
@@ -74,10 +74,13 @@ def exact_percentile(
     mids = values.groupBy(*keys_all, "_mid").agg(F.sum("_n").alias("_n")).withColumn(
         "_top", F.shiftright("_mid", DIGIT_BITS)
     )
-    tops = mids.groupBy(*keys_all, "_top").agg(F.sum("_n").alias("_n"))
+    tops = mids.groupBy(*keys_all, "_top").agg(F.sum("_n").alias("_n")).withColumn(
+        "_head", F.shiftright("_top", DIGIT_BITS)
+    )
+    heads = tops.groupBy(*keys_all, "_head").agg(F.sum("_n").alias("_n"))
 
     # NULL keys form a group of their own, so every join below is null-safe.
-    totals = tops.groupBy(*keys_all).agg(F.sum("_n").alias("_total"))
+    totals = heads.groupBy(*keys_all).agg(F.sum("_n").alias("_total"))
     rank = (F.col("_total") - 1) * F.lit(fraction)
     wanted = totals.select(
         *keys_all,
@@ -92,7 +95,8 @@ def exact_percentile(
 
     def narrow(wanted: DataFrame, level: DataFrame, parent: str | None, digit: str) -> DataFrame:
         on = keys_all if parent is None else [*keys_all, parent]
-        left, right = wanted.alias("w"), level.alias("l")
+        # Without keys there are two wanted rows; the hint keeps that from becoming a product of partitions.
+        left, right = (wanted if keys else F.broadcast(wanted)).alias("w"), level.alias("l")
         condition = F.lit(True)
         for name in on:
             condition = condition & F.col(f"w.{name}").eqNullSafe(F.col(f"l.{name}"))
@@ -103,7 +107,8 @@ def exact_percentile(
         kept = [*keys_all, "_weight", "_end", (F.col("_rank") - F.col("_skip")).alias("_rank"), digit]
         return located.select(*kept)
 
-    found = narrow(wanted, tops, None, "_top")
+    found = narrow(wanted, heads, None, "_head")
+    found = narrow(found, tops, "_head", "_top")
     found = narrow(found, mids, "_top", "_mid")
     found = narrow(found, values, "_mid", "_v")
     low = F.max(F.when(F.col("_end") == "low", F.col("_v")))

@@ -144,7 +144,7 @@ def cancellation_summary(cancelled_product: DataFrame, min_orders: int = 5, high
     # Rates as integers in units of 1e-12: distinct rates of realistic counts stay distinct.
     scaled = rates.select(F.round(F.col("return_rate") * 1e12).cast("bigint").alias("rate"))
     median = exact_percentile(scaled, [], "rate", 0.5, "median_return_rate", F.lit(1e-12))
-    return stats.join(median, F.lit(True), "left")
+    return stats.join(F.broadcast(median), F.lit(True), "left")
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -40,3 +40,13 @@ def test_percentile_without_keys(spark):
     df = spark.range(10).select(F.col("id").alias("v"))
     assert exact_percentile(df, [], "v", 0.5, "p").first()["p"] == 4.5
     assert exact_percentile(df.where("v > 99"), [], "v", 0.5, "p").count() == 0
+
+
+def test_percentile_over_the_whole_bigint_range(spark):
+    values = [-(2**63), -(2**62), -1, 0, 5, 2**31, 2**47, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    found = exact_percentile(df, [], "v", 0.25, "q").first().q
+    assert float(found) == -1.0
+    with_plan = exact_percentile(df, [], "v", 0.5, "q")
+    assert "CartesianProduct" not in with_plan._jdf.queryExecution().executedPlan().toString()
+    assert float(with_plan.first().q) == 5.0
