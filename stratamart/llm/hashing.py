@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
-# Inverse of an odd step modulo 2**64.
-_BACK = _U(pow(int(_STEP), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
@@ -24,11 +20,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1B54A32D192ED03))
 
 
-@lru_cache(maxsize=4)
-def _powers(step: int, bits: int) -> np.ndarray:
-    out = np.full(1 << bits, step, _U)
-    out[0] = 1
-    return np.cumprod(out)
+_SEGMENT = 1_000_000
+
+
+def _hashed(raw: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of each word of ``raw``, which no word enters or leaves."""
+    edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(start):
+        return start, end, np.zeros(0, _U)
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(size.sum(), dtype=np.int32) - np.repeat(first, size).astype(np.int32)
+    powers = np.full(int(size.max()), _STEP, _U)
+    powers[0] = 1
+    sums = np.add.reduceat(_BYTE[raw[solid]] * np.cumprod(powers)[place], first)
+    return start, end, mix(sums + size.astype(_U))
 
 
 class Words:
@@ -36,16 +43,19 @@ class Words:
 
     def __init__(self, texts: list[bytes]):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        text_at = np.cumsum(sizes) - sizes
         raw = np.frombuffer(b" ".join([*texts, b""]) or b" ", np.uint8)
         solid = ~_SPACE[raw]
-        edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
-        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        bits = max(16, int(len(raw)).bit_length())
-        sums = np.zeros(len(raw) + 1, _U)
-        np.cumsum(_BYTE[raw] * _powers(int(_STEP), bits)[: len(raw)], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * _powers(int(_BACK), bits)[self.start] + (self.end - self.start).astype(_U))
-        self.first = np.searchsorted(self.start, text_at)
+        parts, at = [], 0
+        while at < len(raw):
+            # Segments bound the working memory; they end at white space.
+            stop = min(len(raw), at + _SEGMENT)
+            while stop < len(raw) and solid[stop - 1]:
+                stop += 1
+            start, end, own = _hashed(raw[at:stop], solid[at:stop])
+            parts.append((start + at, end + at, own))
+            at = stop
+        self.start, self.end, self.hash = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        self.first = np.searchsorted(self.start, np.cumsum(sizes) - sizes)
         self.count = np.diff(self.first, append=len(self.start))
         self.text = np.repeat(np.arange(len(texts)), self.count)
 

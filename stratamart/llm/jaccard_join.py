@@ -34,9 +34,9 @@ GRAM = 5
 THRESHOLD = 0.8
 RECALL = 0.995
 GROUP_TEXTS = 400
-GROUP_GRAMS = 400_000
+GROUP_GRAMS = 200_000
 _CHUNK = 2_000_000
-_DENSE = 4096
+_DENSE = 2048
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = 128) -> tuple[int, int]:
