@@ -14,7 +14,19 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+# Rows that go to Python at once. Texts are long, and a batch lies in memory on both sides.
+BATCH_ROWS = 1_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most ``BATCH_ROWS`` rows from now on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -71,7 +71,7 @@ class Lexicon:
     def hits(self, text: str | None) -> tuple[list[int], int, int]:
         """(entries that occur, words that hit, all words)"""
         found, hit, words = set(), 0, words_of(text)
-        if len(self.seen) > 300_000:
+        if len(self.seen) > 100_000:
             self.seen.clear()
         for word in words:
             own = self.seen.get(word)
