@@ -42,10 +42,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, name: str, compression: str = "zstd", narrow: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``narrow`` tables hold ids only, a small share of the corpus; they come from an
+    eighth of the shuffle partitions, so that they are not scattered over tiny files.
+    """
     spark = df.sparkSession
     bound_batches(spark)
+    if narrow:
+        df = df.coalesce(max(8, partitions(spark) // 8))
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

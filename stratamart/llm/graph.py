@@ -21,7 +21,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     one task. Rounds grow with the logarithm of the longest chain; each is written to
     the shared folder. Stops when a round changes nothing; raises after ``max_rounds``.
     """
-    edges = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", narrow=True)
     before = _state(edges)
     for _ in range(max_rounds):
         if not before[0]:
@@ -29,12 +29,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = stage(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = stage(
             small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(),
-            "edges",
+            "edges", narrow=True,
         )
         after = _state(edges)
         if after == before:

@@ -139,7 +139,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
     buckets = classes.select("key", F.explode("bands").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub <> last")
     edges = buckets.join(hubs, "bucket").select(F.col("key").alias("a"), F.col("hub").alias("b"))
-    return stage(components(edges), "groups")
+    return stage(components(edges), "groups", narrow=True)
 
 
 def _links(docs: DataFrame, classes: DataFrame, threshold: float, gram: int) -> DataFrame:
@@ -148,7 +148,7 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: float, gram: int) ->
     members = groups.join(classes.select("key", "class_id", "copies", "n_words"), groups.node == F.col("key")).drop("node")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_TEXTS), F.ceil(F.sum("n_words") / GROUP_GRAMS)).cast("int")
     sizes = members.groupBy("root").agg(blocks.alias("blocks"))
-    members = stage(members.join(sizes, "root"), "members").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    members = stage(members.join(sizes, "root"), "members", narrow=True).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     # A merge join at every size: the members grow with the corpus and are never broadcast.
     chosen = members.select(F.col("class_id").alias("chosen_id"), "key", "root", "copies", "block", "blocks")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("chosen_id")))
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     roots = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")
     counts = linked.groupBy("key").agg(F.sum("links").alias("links"))
     judged = classes.select("key", "class_id", "copies", "repeated").join(counts, "key", "left").join(roots, "key", "left")
-    judged = stage(judged.withColumn("root", F.coalesce("root", "key")), "judged")
+    judged = stage(judged.withColumn("root", F.coalesce("root", "key")), "judged", narrow=True)
     first = judged.groupBy("root").agg(F.min(F.struct(F.col("class_id").isNull(), "class_id", "key")).alias("first"))
     judged = judged.join(first, "root").select(
         "key", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),

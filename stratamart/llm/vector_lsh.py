@@ -207,7 +207,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     roots = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")
     counts = linked.groupBy("key").agg(F.sum("links").alias("links"))
     judged = classes.select("key", F.col("vec_id").alias("class_id"), "copies").join(counts, "key", "left").join(roots, "key", "left")
-    judged = stage(judged.withColumn("root", F.coalesce("root", "key")), "judged")
+    judged = stage(judged.withColumn("root", F.coalesce("root", "key")), "judged", narrow=True)
     first = judged.groupBy("root").agg(F.min("class_id").alias("component_id"))
     judged = judged.join(first, "root").select("key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     keyed = _keys(vectors).join(judged, "key", "left")
