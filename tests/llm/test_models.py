@@ -142,3 +142,23 @@ def test_recall_at_the_threshold():
         x, y = (vector_lsh.codes(v, tables, hashes) for v in (a, b))
         assert ((x == y[:, :, :1]) | (y == x[:, :, :1])).any((1, 2)).mean() >= 0.9
     assert np.allclose(np.linalg.norm(vector_lsh.hadamard(a), axis=1), 1)
+
+
+@pytest.mark.parametrize(("length", "sizes"), [(64, (1_000, 50_000, 10_000_000)), (128, (1_000, 50_000, 10_000_000)), (384, (1_000, 50_000)), (768, (1_000, 50_000))])
+def test_recall_at_the_threshold_in_every_dimension(length, sizes):
+    rng, unit = np.random.default_rng(4), lambda v: v / np.linalg.norm(v, axis=1)[:, None]
+    a = unit(rng.normal(size=(300, length)))
+    b = rng.normal(size=a.shape)
+    b = 0.9 * a + math.sqrt(1 - 0.81) * unit(b - (b * a).sum(1)[:, None] * a)
+    for n in sizes:
+        tables, hashes = vector_lsh.settings(n, length)
+        x, y = (vector_lsh.codes(v, tables, hashes) for v in (a, b))
+        assert ((x == y[:, :, :1]) | (y == x[:, :, :1])).any((1, 2)).mean() >= 0.95
+
+
+@pytest.mark.parametrize("length", [64, 128, 384, 768])
+@pytest.mark.parametrize("n", [10_000_000, 100_000_000])
+def test_tables_make_up_for_the_meeting_rate(length, n):
+    tables, hashes = vector_lsh.settings(n, length)
+    assert 1 - (1 - vector_lsh.meeting_rate(length, hashes, 0.9)) ** tables >= 0.95
+    assert vector_lsh.settings(n, length, cosine=0.95)[0] < tables
