@@ -32,7 +32,9 @@ from stratamart.llm.hashing import Words, mix, shingles
 
 GRAM = 5
 THRESHOLD = 0.8
-RECALL = 0.995
+# A pair at the threshold itself is missed once in ten million; closer pairs less often still.
+RECALL = 1 - 1e-7
+MAX_HASHES = 208
 GROUP_TEXTS = 400
 GROUP_GRAMS = 200_000
 _CHUNK = 2_000_000
@@ -43,7 +45,7 @@ def choose_bands(threshold: float, recall: float, max_hashes: int = 128) -> tupl
     """(bands, rows) with the most rows a band, and so the fewest candidates, that still reach the recall."""
     best = None
     for rows in range(1, max_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold < 1 else 1
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows))) if threshold < 1 else 1
         if bands * rows <= max_hashes:
             best = bands, rows
     if best is None:
@@ -171,7 +173,7 @@ def _links(docs: DataFrame, classes: DataFrame, threshold: float, gram: int) ->
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, gram: int = GRAM) -> DataFrame:
     """A row per document: doc_id, key of its text, class_id, n_links, component_id, kept, and whether its row repeats."""
-    bands, rows = choose_bands(threshold, recall)
+    bands, rows = choose_bands(threshold, recall, MAX_HASHES)
     signed = _signatures(docs, bands, rows, gram)
     per_id = signed.filter("key IS NOT NULL").groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"))
     classes = per_id.groupBy("key").agg(

@@ -121,6 +121,19 @@ def test_bands_reach_the_recall():
     assert hit >= 198
 
 
+def test_join_bands_lose_no_pair_at_the_threshold():
+    bands, rows = jaccard_join.choose_bands(jaccard_join.THRESHOLD, jaccard_join.RECALL, jaccard_join.MAX_HASHES)
+    assert (1 - 0.8**rows) ** bands <= 1e-7
+    rng = np.random.default_rng(6)
+    texts = []
+    for _ in range(2_000):
+        # 90 of 100 words in common at one end: 86 n-grams of 106, a similarity of 0.81.
+        words = [f"v{x}" for x in rng.integers(0, 10**9, 110)]
+        texts += [" ".join(words[:100]).encode(), " ".join(words[:90] + words[100:]).encode()]
+    _, codes = jaccard_join.band_hashes(texts, bands, rows)
+    assert (codes[::2] == codes[1::2]).any(1).all()
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("900", f"9{k:02}") for k in range(1, 30)] + [("x", "x")]
     found = dict(tuple(r) for r in graph.components(spark.createDataFrame(edges, "a string, b string")).collect())
