@@ -4,9 +4,11 @@ Counts. Tokens of all training texts are counted by task and added up in one shu
 Classes. The ``CLASSES`` most frequent training tokens are emission classes of the HMM, all
 others share one more class and are told apart by their smoothed unigram share within
 it, so the score is the probability of the very token sequence, unseen tokens included.
-Training. A warm start on at most ``WARM_DOCS`` documents breaks the symmetry between
-states; then every round runs forward-backward over all training documents, and the
-expected counts (states x classes numbers) are added up by a shuffle.
+Training. Class shares shaken by a seeded factor break the symmetry between states; every
+round runs forward-backward over all training documents, which are staged once as class
+numbers, and the expected counts (states x classes numbers) are added up by a shuffle. Rounds
+end when the log-likelihood a token gained less than ``TOLERANCE`` in each of the last ``PATIENCE``
+rounds: before states part, the gain can be small for a round or two.
 Scoring. Documents of similar length move through the forward recursion in step. Counts of
 tokens beyond the ``HEAD`` most frequent ones are looked up by exchange: a block of
 documents sends its distinct rare tokens to the partitions that hold their counts and
@@ -34,9 +36,11 @@ from stratamart.llm.common import partitions, stage, table
 STATES = 8
 CLASSES = 8_192
 HEAD = 200_000
-ROUNDS = 2
-WARM_DOCS = 400
-WARM_ROUNDS = 12
+# Longer tokens are never collected; their counts are looked up like those of rare ones.
+HEAD_BYTES = 256
+# Natural log a token.
+TOLERANCE = 0.005
+PATIENCE = 3
 _CHUNK = 6_000_000
 _GROUP = 512
 _CELLS = 1_000_000
@@ -137,7 +141,12 @@ def likelihoods(model: Model, docs: list[np.ndarray]) -> np.ndarray:
 
 def expected_counts(model: Model, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch expectation over ``docs``: counts of starts, transitions and emissions."""
-    s = len(model.start)
+    return _expectation(model, docs)[:3]
+
+
+def _expectation(model: Model, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """The expected counts, and the natural log probability of ``docs`` under ``model``."""
+    s, fit = len(model.start), 0.0
     start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros_like(model.emit)
     for part, steps, active in _groups(docs):
         ends = np.cumsum(active)
@@ -149,6 +158,7 @@ def expected_counts(model: Model, docs: list[np.ndarray]) -> tuple[np.ndarray, n
             scale = alpha.sum(1)
             alpha = alpha / scale[:, None]
             alphas[begin[t] : ends[t]], scales[begin[t] : ends[t]] = alpha, scale
+        fit += np.log(scales).sum()
         classes = np.concatenate([steps[t, :a] for t, a in enumerate(active)])
         beta = np.ones((len(part), s))
         for t in range(len(steps) - 1, -1, -1):
@@ -161,7 +171,7 @@ def expected_counts(model: Model, docs: list[np.ndarray]) -> tuple[np.ndarray, n
         start += alphas[: active[0]].sum(0)
         for k in range(s):
             emit[:, k] += np.bincount(classes, alphas[:, k], len(emit))
-    return start, move * model.move, emit
+    return start, move * model.move, emit, float(fit)
 
 
 def _class_docs(texts: list[str | None], numbers: Numbers) -> list[np.ndarray]:
@@ -182,55 +192,79 @@ def _pieces(column: Iterator[list], size: int = _CHUNK) -> Iterator[list]:
         yield rows
 
 
-def baum_welch(texts: DataFrame, model: Model, numbers: Numbers, share: np.ndarray) -> Model:
-    """One round over all rows of ``texts``; states x classes sums reach the driver."""
-    s, shared = len(model.start), texts.sparkSession.sparkContext.broadcast((model, list(numbers)))
+def encode(texts: DataFrame, numbers: Numbers) -> DataFrame:
+    """(codes) the class numbers of every text, two or four bytes each, staged."""
+    shared = texts.sparkSession.sparkContext.broadcast(list(numbers))
+    kind = _kind(numbers.other)
 
-    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, own_numbers = shared.value[0], Numbers(shared.value[1])
-        total = np.zeros((s + 1 + len(own.emit), s))
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Numbers(shared.value)
         for rows in _pieces([(t,) for t in b.column(0).to_pylist()] for b in batches):
-            start, move, emit = expected_counts(own, _class_docs([r[0] for r in rows], own_numbers))
-            total += np.concatenate([move, start[None], emit])
+            yield pa.RecordBatch.from_arrays([pa.array([d.astype(kind).tobytes() for d in _class_docs([r[0] for r in rows], own)], pa.binary())], ["codes"])
+
+    return stage(texts.mapInArrow(number, "codes binary"), "codes")
+
+
+def _kind(highest: int) -> str:
+    return "<u2" if highest < 1 << 16 else "<i4"
+
+
+def baum_welch(codes: DataFrame, model: Model, share: np.ndarray) -> tuple[Model, float]:
+    """One round over all rows of ``codes``, and their log-likelihood before it; states x classes sums reach the driver."""
+    s, shared = len(model.start), codes.sparkSession.sparkContext.broadcast(model)
+    kind, height = _kind(len(model.emit) - 1), s + 2 + len(model.emit)
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, total = shared.value, np.zeros((height, s))
+        for rows in _pieces(([(c,) for c in b.column(0).to_pylist()] for b in batches), _CHUNK // 3):
+            start, move, emit, fit = _expectation(own, [np.frombuffer(r[0], kind).astype(np.int32) for r in rows])
+            total[:-1] += np.concatenate([move, start[None], emit])
+            total[-1, 0] += fit
         row, state = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(state), pa.array(total[row, state])], ["row", "state", "n"])
 
-    sums = texts.mapInArrow(expect, "row long, state long, n double").groupBy("row", "state").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros((s + 1 + len(model.emit), s))
+    sums = codes.mapInArrow(expect, "row long, state long, n double").groupBy("row", "state").agg(F.sum("n").alias("n")).toArrow()
+    shared.unpersist()
+    total = np.zeros((height, s))
     total[sums["row"].to_numpy(), sums["state"].to_numpy()] = sums["n"].to_numpy()
-    return Model.of_counts(total[s], total[:s], total[s + 1 :], share)
+    return Model.of_counts(total[s], total[:s], total[s + 1 : -1], share), float(total[-1, 0])
+
+
+def fit(codes: DataFrame, model: Model, share: np.ndarray, tokens: int, tolerance: float = TOLERANCE) -> tuple[Model, list[float]]:
+    """The model after as many rounds as the tolerance asks for, and the log-likelihood a token before each of them."""
+    fits: list[float] = []
+    while len(fits) <= PATIENCE or (np.diff(fits[-PATIENCE - 1 :]) >= tolerance).any():
+        model, found = baum_welch(codes, model, share)
+        fits.append(found / tokens)
+    return model, fits
 
 
 class Trained:
     """The model with the token statistics of its training texts."""
 
-    def __init__(self, model: Model, head: list[bytes], counts: np.ndarray, total: int, distinct: int, table_: DataFrame):
-        self.model, self.head, self.counts, self.table = model, head, counts, table_
+    def __init__(self, model: Model, head: list[bytes], counts: np.ndarray, total: int, distinct: int, table_: DataFrame, fits: list[float]):
+        self.model, self.head, self.counts, self.table, self.fits = model, head, counts, table_, fits
         self.total, self.distinct, self.classes = total, distinct, min(CLASSES, len(head))
         own = int(counts[: self.classes].sum())
         self.rest = total - own + 0.5 * (distinct - self.classes + 1)
 
 
-def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> Trained:
+def train(docs: DataFrame, states: int = STATES, tolerance: float = TOLERANCE) -> Trained:
     """Train on the rows that are not held out."""
     own = docs.select(F.col("doc_id").cast("long"), "text").filter(~held_out(F.col("doc_id")))
     texts = own.select("text")
     counts = stage(count_tokens(texts), "tokens")
     sums = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, distinct = sums[0] or 0, sums[1]
-    head = counts.orderBy(F.col("n").desc(), "token").limit(HEAD).toArrow()
+    head = counts.filter(F.length("token") <= HEAD_BYTES).orderBy(F.col("n").desc(), "token").limit(HEAD).toArrow()
     names, n = head["token"].to_pylist(), head["n"].to_numpy()
     numbers = Numbers(names[:CLASSES])
     share = np.append(n[:CLASSES], max(0.5, total - n[:CLASSES].sum())).astype(float)
     share /= share.sum()
-    model = Model.first(share, states)
-    ids = [r[0] for r in own.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(WARM_DOCS).collect()]
-    warm = _class_docs([r[0] for r in own.filter(F.col("doc_id").isin(ids)).select("text").limit(2 * WARM_DOCS).collect()], numbers) if ids else []
-    for _ in range(WARM_ROUNDS if warm else 0):
-        model = Model.of_counts(*expected_counts(model, warm), share)
-    for _ in range(rounds if total else 0):
-        model = baum_welch(texts, model, numbers, share)
-    return Trained(model, names, n, total, distinct, counts)
+    model, fits = Model.first(share, states), []
+    if total:
+        model, fits = fit(encode(texts, numbers), model, share, total, tolerance)
+    return Trained(model, names, n, total, distinct, counts, fits)
 
 
 _BLOCK = "block long, doc_id array<long>, n_tokens array<long>, known array<long>, head_sum array<double>, hmm array<double>, n_rest array<long>, rest_sum array<double>, tail_doc binary, tail_token binary, tail_n binary, order binary, tokens array<binary>"

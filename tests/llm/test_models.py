@@ -69,6 +69,23 @@ def test_language_model_without_training_rows(spark, no_documents):
     assert sorted(r.n_tokens for r in got) == [1, 3] and all(r.base_score == 0 and r.n_known == 0 for r in got)
 
 
+def test_training_ends_when_a_round_gains_little(spark):
+    rng = np.random.default_rng(1)
+    words = [[f"{a}{k}" for k in range(12)] for a in "xy"]
+    rows = [doc(k, " ".join([*rng.choice(words[k % 2], 30), "z" * 300])) for k in range(80)]
+    df = spark.createDataFrame(rows, DOCS)
+    trained = hmm.train(df, states=2)
+    assert len(trained.fits) > 2 and trained.fits[-1] - trained.fits[-2] < hmm.TOLERANCE
+    own = [r.text for r in df.filter(~hmm.held_out(F.col("doc_id"))).collect()]
+    docs = hmm._class_docs(own, hmm.Numbers(trained.head))
+    share = np.append(trained.counts, max(0.5, trained.total - trained.counts.sum())) / max(trained.total, 1)
+    more = hmm.Model.of_counts(*hmm.expected_counts(trained.model, docs), share)
+    assert hmm.likelihoods(more, docs).sum() - hmm.likelihoods(trained.model, docs).sum() < hmm.TOLERANCE * trained.total
+    # The long token is counted, but not collected.
+    assert max(map(len, trained.head)) <= hmm.HEAD_BYTES and trained.total == sum(len(hmm.tokens_of(t)) for t in own)
+    assert all(r.n_known == r.n_tokens for r in hmm.scores(df, trained).collect())
+
+
 def brute_targets(sizes, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[k % 3] for k, s in enumerate(names)}
