@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stratamart.llm import (
-    decontamination, hmm, jaccard_join, licences, mixing, pii, prefix_trie, substring_dedup, toxicity, url_filter, vector_codes,
+    decontamination, hmm, jaccard_join, licences, mixing, pii, prefix_trie, run_index, substring_dedup, toxicity, url_filter, vector_codes,
     vector_lsh,
 )
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_licences": licences.op9_licences,
     "op10_hmm": hmm.op10_hmm,
+    "op11_run_index": run_index.op11_run_index,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
@@ -30,6 +31,7 @@ ORACLE_SQL = {
     "op7_jaccard_join": jaccard_join.OP7_SQL,
     "op8_decontamination": decontamination.OP8_SQL,
     "op9_licences": licences.OP9_SQL,
+    "op11_run_index": run_index.OP11_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }
