@@ -8,7 +8,7 @@ anchors wherever they stand. Anchors only say which texts have to meet; the inde
 2. Around recurring anchors a block cuts pieces (up to 27 consecutive windows of one anchor). Equal pieces of a block
    are sent once, with their smallest document, to the shard of their anchor's range. Pieces of a
    frequent anchor are cut into single windows dealt by their own hash, so no anchor fills a shard.
-3. A shard builds run-length indexes (:class:`RunIndex`) of about a million symbols: the Burrows-Wheeler transform
+3. A shard builds run-length indexes (:class:`RunIndex`) of some 200,000 symbols: the Burrows-Wheeler transform
    of its texts, kept as runs, with the smallest document sampled at run ends. All texts are streamed
    through it from right to left; matching statistics are held at ``WIDTH`` bytes by widening the range of rows by one
    symbol before each step. The window is removed where the sample at the end of its range is a smaller document.
@@ -43,7 +43,7 @@ WIDTH = 50
 GRAM = 24
 SPAN = WIDTH - GRAM + 1
 HEAVY = 10_000
-INDEX_SYMBOLS = 1_000_000
+INDEX_SYMBOLS = 200_000
 _SEGMENT = 1_000_000
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
@@ -107,7 +107,8 @@ def _pieces(raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         cuts = -(-count // SPAN)
         again = np.repeat(np.arange(len(first)), cuts)
         part = np.arange(len(again)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-        out.append((at[first][again] + a + part * SPAN, np.minimum(SPAN, count[again] - part * SPAN), anchor[first][again]))
+        # Anchors are small hashes; mixed again, they spread over all ranges.
+        out.append((at[first][again] + a + part * SPAN, np.minimum(SPAN, count[again] - part * SPAN), mix(anchor[first][again])))
     return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
 
@@ -251,6 +252,10 @@ class RunIndex:
         self.run_symbol, self.run_start, self.run_length = before[starts][by], starts[by], length[by]
         self.run_key = self.run_symbol * (self.n + 1) + self.run_start
         self.run_before = np.cumsum(self.run_length) - self.run_length
+        # The same by row order: each run's symbol, end, and how far a backward step by that symbol leads.
+        self.symbol, self.end = before[starts], starts + length
+        self.step = np.empty(len(starts), np.int64)
+        self.step[by] = self.run_before - self.run_start
 
     def _sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows in order; which differ from the row before in their first WIDTH, and in their first WIDTH - 1 symbols."""
@@ -277,6 +282,15 @@ class RunIndex:
         own = np.where(self.run_symbol[at] == symbol, np.minimum(row - self.run_start[at], self.run_length[at]), self.run_length[at])
         return np.where(at >= 0, self.run_before[at] + own, 0)
 
+    def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges of rows that put ``symbol`` before those of the suffixes in [low, high)."""
+        run = self.run[low]
+        down, up = low + self.step[run], high + self.step[run]
+        # A range that lies in one run of the symbol moves as a whole; the others are counted.
+        rest = np.flatnonzero((self.symbol[run] != symbol) | (high > self.end[run]))
+        down[rest], up[rest] = self.back(symbol[rest], low[rest]), self.back(symbol[rest], high[rest])
+        return down, up
+
     def earlier(self) -> np.ndarray:
         """For each text a mask of the windows that occur in a text of a smaller document."""
         order = np.argsort(-self.sizes, kind="stable")
@@ -290,7 +304,7 @@ class RunIndex:
                 group = self.wide[low]
                 low, high = self.wide_start[group], self.wide_end[group]
             symbol = self.symbols[ends[:m] - 1 - t]
-            low, high = self.back(symbol, low), self.back(symbol, high)
+            low, high = self.extend(symbol, low, high)
             if t >= WIDTH - 1:
                 found = self.sample[self.run[high - 1]] < docs[:m]
                 masks[:m] |= found.astype(np.uint32) << (sizes[:m] - 1 - t).astype(np.uint32)

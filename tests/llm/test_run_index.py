@@ -92,7 +92,7 @@ def test_backward_steps_equal_counting():
         low, high = np.array([0]), np.array([index.n])
         for k in range(1, 51):
             symbol = np.array([text[-k] + 1])
-            low, high = index.back(symbol, low), index.back(symbol, high)
+            low, high = index.extend(symbol, low, high)
             piece = text[len(text) - k :]
             assert high[0] - low[0] == sum(t[i : i + k] == piece for t in texts for i in range(len(t) - k + 1))
 
