@@ -13,6 +13,8 @@ quarantined rather than cut.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,8 @@ AMOUNT_LIMIT = 100_000_000
 
 LOADED_COLUMNS = ("amount", "payment_date", *STRIPE_COLUMNS)
 
+Lookup = Callable[[DataFrame], DataFrame]
+
 
 def evolve(target: DataFrame, columns: dict[str, str] = STRIPE_COLUMNS) -> DataFrame:
     """Add the missing columns as typed NULLs; existing columns stay as they are."""
@@ -118,7 +122,7 @@ def split_valid(mapped: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:
     return good, judged.where(F.col("error_reason").isNotNull())
 
 
-def classify(mapped: DataFrame, target: DataFrame, **limits) -> DataFrame:
+def classify(mapped: DataFrame, target: DataFrame | Lookup, **limits) -> DataFrame:
     """Add ``load_status`` and ``error_reason`` to every mapped row.
 
     A known id is skipped. Otherwise the first storable row of an id, in file
@@ -126,25 +130,20 @@ def classify(mapped: DataFrame, target: DataFrame, **limits) -> DataFrame:
     skipped. Rows without id match nothing, so each storable one is inserted.
     The decision per id is an aggregate, so a much-repeated id collapses before
     the shuffle; joining it back splits on the row side if that id is hot.
+
+    ``target`` is the table loaded into, or a function that returns those of
+    the given ids which are known (``KnownIds.matching``).
     """
     judged = mapped.withColumn("error_reason", error_reason(**limits))
-    in_batch = judged.where(F.col("stripe_payment_id").isNotNull()).select(
-        "stripe_payment_id",
-        F.when(F.col("error_reason").isNull(), F.col("position")).alias("first_storable"),
-        F.lit(False).alias("known"),
-    )
+    storable = F.col("error_reason").isNull()
+    with_id = judged.where(F.col("stripe_payment_id").isNotNull())
+    per_id = with_id.groupBy("stripe_payment_id").agg(F.min(F.when(storable, F.col("position"))).alias("first_storable"))
     # Only target ids the batch mentions matter: a batch far smaller than the
     # target is broadcast and the target is scanned without being shuffled.
-    batch_ids = in_batch.select("stripe_payment_id").distinct()
-    in_target = target.join(batch_ids, "stripe_payment_id", "left_semi").select(
-        "stripe_payment_id", F.lit(None).cast("bigint").alias("first_storable"), F.lit(True).alias("known")
-    )
-    per_id = (
-        in_batch.unionByName(in_target)
-        .groupBy("stripe_payment_id")
-        .agg(F.min("first_storable").alias("first_storable"), F.bool_or("known").alias("known"))
-    )
-    storable = F.col("error_reason").isNull()
+    ids = mapped.select("stripe_payment_id").where(F.col("stripe_payment_id").isNotNull()).distinct()
+    matching = target(ids) if callable(target) else target.join(ids, "stripe_payment_id", "left_semi")
+    known = matching.select("stripe_payment_id").distinct().withColumn("known", F.lit(True))
+    per_id = per_id.join(known, "stripe_payment_id", "left")
     status = (
         F.when(F.col("stripe_payment_id").isNull(), F.when(storable, INSERTED).otherwise(ERROR))
         .when(F.col("known") | (F.col("position") > F.col("first_storable")), SKIPPED)
@@ -158,7 +157,7 @@ def classify(mapped: DataFrame, target: DataFrame, **limits) -> DataFrame:
     )
 
 
-def new_payments(mapped: DataFrame, target: DataFrame) -> DataFrame:
+def new_payments(mapped: DataFrame, target: DataFrame | Lookup) -> DataFrame:
     """The rows an idempotent load inserts; running it again on the result inserts none."""
     accepted = classify(mapped, target).where(F.col("load_status") == INSERTED)
     return accepted.select(*mapped.columns)

@@ -60,20 +60,37 @@ def read_documents(spark: SparkSession, path: str, multiline: bool = True) -> Da
     return sinks.stage(read, "export_documents")
 
 
+def _split_offsets(sized: DataFrame) -> DataFrame:
+    """(document, block, before_split): how many payments earlier file splits hold, in path order.
+
+    Splits are written once in sorted pieces of equal size. Inside a piece a
+    running sum counts; the totals of the pieces, one number a shuffle
+    partition, are added up on the driver.
+    """
+    spark = sized.sparkSession
+    held = sized.groupBy("document", "block").agg(F.sum("elements").alias("held"))
+    pieces = held.repartitionByRange("document", "block").withColumn("piece", F.spark_partition_id())
+    splits = sinks.stage(pieces, "export_splits")
+    totals = splits.groupBy("piece").agg(F.sum("held").alias("held")).collect()
+    before, offsets = 0, []
+    for piece, n in sorted((row["piece"], row["held"]) for row in totals):
+        offsets.append((piece, before))
+        before += n
+    offsets = F.broadcast(spark.createDataFrame(offsets, "piece int, piece_offset bigint"))
+    earlier = Window.partitionBy("piece").orderBy("document", "block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = splits.withColumn("inside", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+    return inside.join(offsets, "piece").select("document", "block", (F.col("piece_offset") + F.col("inside")).alias("before_split"))
+
+
 def positioned_payments(documents: DataFrame, keep_raw: bool = True) -> DataFrame:
     """Payments of the readable ``documents`` with ``position``: consecutive, by file, place in it and place in the document.
 
-    A position is what earlier file splits hold (a running sum over one row
-    per split), earlier documents of the split, and the index in the document.
+    A position is what earlier file splits hold, earlier documents of the
+    split, and the index in the document. No step gathers all splits in one task.
     """
     sized = documents.where(F.col("error").isNull()).withColumn("elements", F.coalesce(F.size("data"), F.lit(0)).cast("bigint"))
-    earlier = (Window.unboundedPreceding, -1)
-    splits = sized.groupBy("document", "block").agg(F.sum("elements").alias("held")).select(
-        "document", "block",
-        F.coalesce(F.sum("held").over(Window.orderBy("document", "block").rowsBetween(*earlier)), F.lit(0)).alias("before_split"),
-    )
-    within = Window.partitionBy("document", "block").orderBy("line").rowsBetween(*earlier)
-    placed = sized.withColumn("before", F.coalesce(F.sum("elements").over(within), F.lit(0))).join(splits, ["document", "block"])
+    within = Window.partitionBy("document", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("before", F.coalesce(F.sum("elements").over(within), F.lit(0))).join(_split_offsets(sized), ["document", "block"])
     rows = explode_documents(placed.select("document", "data", (F.col("before_split") + F.col("before")).alias("start")))
     rows = rows.withColumn("position", F.col("start") + F.col("index")).drop("start")
     return parse_payments(rows, keep_raw)

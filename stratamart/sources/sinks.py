@@ -9,7 +9,7 @@ in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,9 +31,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _write_version(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+def _write_version(df: DataFrame, path: str, partition_by: Sequence[str], options: Mapping[str, str] | None = None) -> str:
     version = f"version-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{version}")
@@ -62,6 +62,13 @@ def _commit(spark: SparkSession, path: str, version: str) -> None:
     entry.coalesce(1).write.mode("append").parquet(f"{path}/{COMMITS}")
 
 
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder of the currently published version; None before the first one."""
+    if not exists(spark, f"{path}/{COMMITS}"):
+        return None
+    return f"{path}/{_commits(spark, path).agg(F.max_by('version', 'sequence')).first()[0]}"
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The currently published version of a table."""
     latest = _commits(spark, path).agg(F.max_by("version", "sequence").alias("version")).first()
@@ -91,11 +98,11 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         _delete(df.sparkSession, path)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full refresh: write a new version, then make it the current one."""
-    version = _write_version(df, path, partition_by)
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> DataFrame:
+    """Full refresh: write a new version, then make it the current one; ``options`` go to the file writer."""
+    version = _write_version(df, path, partition_by, options)
     _commit(df.sparkSession, path, version)
-    return read(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
 def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:

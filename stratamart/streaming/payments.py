@@ -12,9 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from stratamart.operators import expectations as expect
 from stratamart.operators import ingest
 from stratamart.sources import sinks
+from stratamart.sources.known_ids import KnownIds
 
 RUN, BATCH = "run", "batch_id"
-LOADED, QUARANTINE, SUMMARY = "loaded", "quarantine", "summary"
+LOADED, QUARANTINE, SUMMARY, KNOWN = "loaded", "quarantine", "summary", "known"
+BASE = "base"
 
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -23,13 +25,13 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(text)["id"]
 
 
-def _others(spark: SparkSession, path: str, schema: str, run: str, batch_id: int) -> DataFrame:
-    """Rows that other batches wrote, of this run or an earlier one, without a previous attempt of this batch."""
+def _loaded(spark: SparkSession, path: str) -> DataFrame:
+    """(payment_id, stripe_payment_id, run, batch_id) of everything the batches of all runs wrote."""
+    schema = f"payment_id bigint, stripe_payment_id string, {RUN} string, {BATCH} int"
     folder = f"{path}/{LOADED}"
     if not sinks.exists(spark, folder):
-        return spark.createDataFrame([], schema).drop(RUN, BATCH)
-    written = spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(folder)
-    return written.where((F.col(RUN) != run) | (F.col(BATCH) != batch_id)).drop(RUN, BATCH)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(folder)
 
 
 def upsert_batch(base: DataFrame, path: str, run: Callable[[], str] = lambda: "run") -> Callable[[DataFrame, int], None]:
@@ -41,24 +43,36 @@ def upsert_batch(base: DataFrame, path: str, run: Callable[[], str] = lambda: "r
     checkpoint on an existing target numbers its batches anew without touching
     what is loaded. Known are the base table and all *other* batches of all
     runs, so replaying a batch writes the same rows again.
+
+    What is known is looked up in an index of ids (``known_ids``), which a
+    batch joins last. At the start the index is brought up to the base and
+    the loaded rows, the only time they are scanned: a batch lost between its
+    rows and its ids is found then.
     """
+    spark = base.sparkSession
     known_base = ingest.evolve(base).select("payment_id", "stripe_payment_id")
     # One row; the base does not change while the stream runs.
     base_maximum = known_base.agg(F.max("payment_id")).first()[0] or 0
-    schema = f"payment_id bigint, stripe_payment_id string, {RUN} string, {BATCH} int"
+    known = KnownIds(spark, f"{path}/{KNOWN}")
     last: dict[str, int] = {}
 
+    def start() -> None:
+        ids = known_base.select("stripe_payment_id", F.lit(BASE).alias(RUN), F.lit(-1).cast("bigint").alias(BATCH))
+        written = _loaded(spark, path).select("stripe_payment_id", RUN, F.col(BATCH).cast("bigint").alias(BATCH))
+        known.sync(ids.unionByName(written).where(F.col("stripe_payment_id").isNotNull()))
+
     def load(mapped: DataFrame, batch_id: int) -> None:
-        spark, name = mapped.sparkSession, run()
-        others = _others(spark, path, schema, name, batch_id)
+        name = run()
         own = f"{RUN}={name}/{BATCH}={batch_id}"
         # The largest id is carried from batch to batch and looked up only at the start or on a replay.
         if last.get("batch") != batch_id - 1:
+            start()
+            others = _loaded(spark, path).where((F.col(RUN) != name) | (F.col(BATCH) != batch_id))
             last["maximum"] = max(base_maximum, others.agg(F.max("payment_id")).first()[0] or 0)
         taken = spark.range(1).select(F.lit(last["maximum"]).cast("bigint").alias("payment_id"))
         with sinks.staged(mapped, "stream_batch") as batch:
-            known = known_base.unionByName(others)
-            with sinks.staged(ingest.classify(batch, known), "stream_status") as judged:
+            judging = ingest.classify(batch, lambda ids: known.matching(ids, name, batch_id))
+            with sinks.staged(judging, "stream_status") as judged:
                 accepted = judged.where(F.col("load_status") == ingest.INSERTED)
                 numbered = ingest.assign_ids(accepted, taken).select("payment_id", *ingest.LOADED_COLUMNS)
                 numbered.write.mode("overwrite").parquet(f"{path}/{LOADED}/{own}")
@@ -66,6 +80,7 @@ def upsert_batch(base: DataFrame, path: str, run: Callable[[], str] = lambda: "r
                 bad.write.mode("overwrite").parquet(f"{path}/{QUARANTINE}/{own}")
                 counts = ingest.summarise(judged)
                 counts.write.mode("overwrite").parquet(f"{path}/{SUMMARY}/{own}")
+        known.add(spark.read.parquet(f"{path}/{LOADED}/{own}").select("stripe_payment_id", F.lit(name).alias(RUN), F.lit(batch_id).alias(BATCH)))
         inserted = spark.read.parquet(f"{path}/{SUMMARY}/{own}").first()["payments_inserted"]
         last.update(batch=batch_id, maximum=last["maximum"] + inserted)
 

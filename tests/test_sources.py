@@ -91,3 +91,22 @@ def test_documents_and_positions(spark, tmp_path, multiline):
     assert documents.count() == 8 and documents.where("error IS NOT NULL").count() == 3
     placed = payment_export.positioned_payments(documents).select("position", "id").collect()
     assert sorted(tuple(r) for r in placed) == [(0, "a"), (1, "b"), (2, "c"), (3, "d"), (4, "e")]
+
+
+def test_positions_over_many_splits_without_a_single_partition(spark):
+    """Sizes of many files, some empty, in shuffled order; the sorted pieces are many."""
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [(f"f{k:03d}", block, (k * 7 + block) % 5) for k in range(60) for block in (0, 128)]
+        held = [(d, b, 0, [json.dumps({"id": f"{d}-{b}-{i}"}) for i in range(n)], None) for d, b, n in sizes[::-1]]
+        documents = spark.createDataFrame(held, "document string, block bigint, line bigint, data array<string>, error string").repartition(6)
+        placed = payment_export.positioned_payments(documents)
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan
+        found = [r["id"] for r in placed.select("id", "position").orderBy("position").collect()]
+        assert found == [f"{d}-{b}-{i}" for d, b, n in sorted(sizes) for i in range(n)]
+        assert payment_export.positioned_payments(documents.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

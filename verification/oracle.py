@@ -376,6 +376,7 @@ ORACLES = {
     "k4_publish_failed": f"SELECT {CUSTOMER_FULL} FROM x_customer_kept",
     # payment ingest
     "i1_map_payments": f"SELECT {MAPPED} FROM x_mapped",
+    "i3_known_ids": f"SELECT position, stripe_payment_id, {_d('amount')} FROM x_status WHERE load_status = 'inserted'",
     "i3_new_payments": f"SELECT position, stripe_payment_id, {_d('amount')} FROM x_status WHERE load_status = 'inserted'",
     "i4_assign_ids": """
         SELECT position, (SELECT max(payment_id) FROM x_payment) + row_number() OVER (ORDER BY position) AS payment_id,

@@ -17,6 +17,7 @@ from stratamart.plans import direct, medallion
 from stratamart.plans.variants import BUNDLE, DECLARATIVE, NOTEBOOK, PG
 from stratamart.session import configure, shared_folder
 from stratamart.sources import csv, payment_export, sinks
+from stratamart.sources.known_ids import KnownIds
 from stratamart.streaming import bronze, payments as payment_stream
 from verification.fixtures import Sources
 
@@ -295,6 +296,14 @@ def i3_new_payments(t):
     return ingest.new_payments(t.payments_staged(), t.payment()).select("position", "stripe_payment_id", "amount")
 
 
+@query
+def i3_known_ids(t):
+    """As ``i3_new_payments``, with the known ids looked up in their index."""
+    known = KnownIds(t.spark, t.scratch("known_ids"))
+    known.add(t.payment().select("stripe_payment_id", F.lit("base").alias("run"), F.lit(0).alias("batch_id")))
+    return ingest.new_payments(t.payments_staged(), known.matching).select("position", "stripe_payment_id", "amount")
+
+
 @query
 def i4_assign_ids(t):
     accepted = sinks.stage(ingest.new_payments(t.payments_staged(), t.payment()), "accepted_payments")
