@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions.geography import with_country_name
-from stratamart.functions.ordering import exact_percentile
+from stratamart.functions.ordering import RollUp
 from stratamart.operators.gold import ratio
 
 
@@ -135,15 +135,16 @@ def cancellation_top(cancelled_product: DataFrame, n: int = 10, min_orders: int
 
 
 def cancellation_summary(cancelled_product: DataFrame, min_orders: int = 5, high: float = 0.2) -> DataFrame:
-    """Mean and exact median rate, and how many products exceed ``high``."""
-    rates = with_support(cancelled_product, min_orders)
-    stats = rates.agg(
-        F.avg("return_rate").alias("avg_return_rate"),
-        F.count_if(F.col("return_rate") > high).alias("high_rate_products"),
-    )
+    """Mean and exact median rate, and how many products exceed ``high``; from one roll-up of the rates."""
     # Rates as integers in units of 1e-12: distinct rates of realistic counts stay distinct.
-    scaled = rates.select(F.round(F.col("return_rate") * 1e12).cast("bigint").alias("rate"))
-    median = exact_percentile(scaled, [], "rate", 0.5, "median_return_rate", F.lit(1e-12))
+    scaled = F.round(F.col("return_rate") * 1e12)
+    rolled = RollUp(with_support(cancelled_product, min_orders).select("return_rate"), [], "return_rate", scaled)
+    rate, n = F.col("return_rate"), F.col("_n")
+    stats = rolled.counts.agg(
+        F.try_divide(F.sum(rate * n), F.sum(F.when(rate.isNotNull(), n))).alias("avg_return_rate"),
+        F.coalesce(F.sum(F.when(rate > high, n)), F.lit(0)).alias("high_rate_products"),
+    )
+    median = rolled.percentile(0.5, "median_return_rate", F.lit(1e-12))
     return stats.join(F.broadcast(median), F.lit(True), "left")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions.geography import map_region
-from stratamart.functions.ordering import exact_percentile
+from stratamart.functions.ordering import RollUp
 from stratamart.plans.variants import DECLARATIVE, NOTEBOOK, PG, Variant
 
 CANCELLED = "cancelled"
@@ -320,21 +320,18 @@ def stripe_payment(payment_silver: DataFrame) -> DataFrame:
 def payment_source(payment_silver: DataFrame) -> DataFrame:
     """``payment_source_gold``: count, sum, spread and exact median per source.
 
-    Two sources hold all rows, so the median uses the digit-wise percentile
-    and never gathers a source's amounts in one task.
+    The payments are read once and rolled up to counts per source and amount,
+    from which all columns come; no source's amounts are gathered in one task.
     """
-    amount = F.col("amount")
-    stats = payment_silver.groupBy("payment_source").agg(
-        F.count("*").alias("total_payments"),
-        F.sum("amount").alias("total_amount"),
-        F.avg(amount.cast("double")).alias("avg_amount"),
-        F.min("amount").alias("min_amount"),
-        F.max("amount").alias("max_amount"),
-        F.stddev_samp(amount.cast("double")).alias("stddev_amount"),
+    cents = (F.col("amount") * 100).cast("bigint")
+    rolled = RollUp(payment_silver.select("payment_source", "amount"), ["payment_source"], "amount", cents)
+    stats = rolled.statistics()
+    medians = rolled.percentile(0.5, "median_amount", F.lit(0.01)).withColumnRenamed("payment_source", "_source")
+    return stats.join(medians, F.col("payment_source") == F.col("_source"), "left").select(
+        "payment_source", F.col("rows").alias("total_payments"), F.col("total").cast("decimal(28,2)").alias("total_amount"),
+        F.col("mean").alias("avg_amount"), F.col("least").alias("min_amount"), F.col("greatest").alias("max_amount"),
+        F.col("deviation").alias("stddev_amount"), "median_amount",
     )
-    cents = payment_silver.select("payment_source", (amount * 100).cast("bigint").alias("cents"))
-    medians = exact_percentile(cents, ["payment_source"], "cents", 0.5, "median_amount", F.lit(0.01))
-    return stats.join(medians, "payment_source", "left")
 
 
 def currency_distribution(payments: DataFrame) -> DataFrame:

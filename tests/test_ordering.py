@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratamart.functions.ordering import consecutive_ids, exact_percentile
+from stratamart.functions.ordering import RollUp, consecutive_ids, exact_percentile
 
 
 def test_ids_follow_sparse_positions(spark):
@@ -50,3 +50,29 @@ def test_percentile_over_the_whole_bigint_range(spark):
     with_plan = exact_percentile(df, [], "v", 0.5, "q")
     assert "CartesianProduct" not in with_plan._jdf.queryExecution().executedPlan().toString()
     assert float(with_plan.first().q) == 5.0
+
+
+def test_statistics_of_a_roll_up_equal_those_of_the_rows(spark):
+    rows = [(k, None if i % 11 == 0 else f"{(i * i) % 97}.{i % 100:02}") for i in range(400) for k in ("a", None)] + [("one", "5.00"), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v string").select("k", F.col("v").cast("decimal(18,2)").alias("v"))
+    rolled = RollUp(df, ["k"], "v", F.col("v") * 100)
+    expected = df.groupBy("k").agg(
+        F.count("*").alias("rows"), F.count("v").alias("values"), F.sum("v").alias("total"), F.min("v").alias("least"), F.max("v").alias("greatest"),
+        F.avg(F.col("v").cast("double")).alias("mean"), F.stddev_samp(F.col("v").cast("double")).alias("deviation"),
+    )
+    found = {r["k"]: r.asDict() for r in rolled.statistics().collect()}
+    for row in expected.collect():
+        exact = {c: v for c, v in row.asDict().items() if c not in ("mean", "deviation")}
+        assert {c: found[row["k"]][c] for c in exact} == exact
+        assert [found[row["k"]][c] for c in ("mean", "deviation")] == pytest.approx([row["mean"], row["deviation"]])
+    medians = {r["k"]: r["m"] for r in rolled.percentile(0.5, "m", F.lit(0.01)).collect()}
+    assert set(medians) == {"a", None, "one"} and medians["one"] == pytest.approx(5.0)
+
+
+def test_a_roll_up_reads_the_rows_once_and_skips_equal_digits(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1_000).select((F.col("id") % 5).alias("k"), F.col("id").alias("v")).write.parquet(path)
+    rolled = RollUp(spark.read.parquet(path), ["k"], "v", F.col("v"))
+    joined = rolled.statistics().join(rolled.percentile(0.5, "m"), "k")
+    assert path not in joined._jdf.queryExecution().optimizedPlan().toString() and joined.count() == 5
+    assert rolled.percentile(0.5, "m")._jdf.queryExecution().optimizedPlan().toString().count("Window") < 4
