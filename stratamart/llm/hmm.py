@@ -8,7 +8,8 @@ Training. Class shares shaken by a seeded factor break the symmetry between stat
 round runs forward-backward over all training documents, which are staged once as class
 numbers, and the expected counts (states x classes numbers) are added up by a shuffle. Rounds
 end when the log-likelihood a token gained less than ``TOLERANCE`` in each of the last ``PATIENCE``
-rounds: before states part, the gain can be small for a round or two.
+rounds: before states part, the gain can be small for a round or two. A round computes in single
+precision and adds up in double; scores are computed in double throughout.
 Scoring. Documents of similar length move through the forward recursion in step. Counts of
 tokens beyond the ``HEAD`` most frequent ones are looked up by exchange: a block of
 documents sends its distinct rare tokens to the partitions that hold their counts and
@@ -43,7 +44,7 @@ TOLERANCE = 0.005
 PATIENCE = 3
 _CHUNK = 6_000_000
 _GROUP = 512
-_CELLS = 1_000_000
+_CELLS = 4_000_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END = b""
 
@@ -109,29 +110,31 @@ class Model:
         return cls((start + 1) / (start + 1).sum(), (move + 1) / (move + 1).sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _groups(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(document numbers, classes by step and document, active documents by step), longest first."""
+def _groups(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, list[slice]]]:
+    """(document numbers, longest first; classes step after step, each step in that order; the rows of each step)."""
     order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     while order:
-        longest = len(docs[order[0]])
-        part = order[: max(1, min(_GROUP, _CELLS // longest))]
+        part = order[: max(1, min(_GROUP, _CELLS // len(docs[order[0]])))]
         order = order[len(part) :]
-        lengths = np.array([len(docs[i]) for i in part])
-        steps = np.zeros((longest, len(part)), np.int32)
-        for k, i in enumerate(part):
-            steps[: len(docs[i]), k] = docs[i]
-        yield np.array(part), steps, np.searchsorted(-lengths, -np.arange(longest), "left")
+        own = [docs[i] for i in part]
+        lengths = np.array([len(d) for d in own])
+        ends = np.cumsum(np.searchsorted(-lengths, -np.arange(lengths[0]), "left"))
+        begin = np.append(0, ends[:-1])
+        step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        classes = np.empty(len(step), np.int32)
+        classes[begin[step] + np.repeat(np.arange(len(own)), lengths)] = np.concatenate(own)
+        yield np.array(part), classes, [slice(a, b) for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
 
 
 def likelihoods(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each class sequence, by the scaled forward recursion."""
     out = np.zeros(len(docs))
-    for part, steps, active in _groups(docs):
+    for part, classes, steps in _groups(docs):
         total = np.zeros(len(part))
         alpha = np.broadcast_to(model.start, (len(part), len(model.start)))
-        for t in range(len(steps)):
-            a = active[t]
-            alpha = (alpha[:a] @ model.move if t else alpha) * model.emit[steps[t, :a]]
+        for t, rows in enumerate(steps):
+            a = rows.stop - rows.start
+            alpha = (alpha[:a] @ model.move if t else alpha) * model.emit[classes[rows]]
             scale = alpha.sum(1)
             alpha = alpha / scale[:, None]
             total[:a] += np.log(scale)
@@ -144,31 +147,42 @@ def expected_counts(model: Model, docs: list[np.ndarray]) -> tuple[np.ndarray, n
     return _expectation(model, docs)[:3]
 
 
-def _expectation(model: Model, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """The expected counts, and the natural log probability of ``docs`` under ``model``."""
+def _expectation(model: Model, docs: list[np.ndarray], kind: type = np.float64) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """The expected counts, and the natural log probability of ``docs`` under ``model``, computed in ``kind``."""
     s, fit = len(model.start), 0.0
     start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros_like(model.emit)
-    for part, steps, active in _groups(docs):
-        ends = np.cumsum(active)
-        begin = ends - active
-        alphas, scales = np.zeros((ends[-1], s)), np.zeros(ends[-1])
-        alpha = np.broadcast_to(model.start, (len(part), s))
-        for t, a in enumerate(active):
-            alpha = (alpha[:a] @ model.move if t else alpha) * model.emit[steps[t, :a]]
-            scale = alpha.sum(1)
-            alpha = alpha / scale[:, None]
-            alphas[begin[t] : ends[t]], scales[begin[t] : ends[t]] = alpha, scale
-        fit += np.log(scales).sum()
-        classes = np.concatenate([steps[t, :a] for t, a in enumerate(active)])
-        beta = np.ones((len(part), s))
-        for t in range(len(steps) - 1, -1, -1):
-            a, here = active[t], slice(begin[t], ends[t])
-            seen = model.emit[steps[t, :a]] * beta[:a] / scales[here, None]
+    first, ahead, emission = (x.astype(kind) for x in (model.start, model.move, model.emit))
+    back, ones = np.ascontiguousarray(ahead.T), np.ones(s, kind)
+    for part, classes, steps in _groups(docs):
+        seen, alphas, scales = emission[classes], np.empty((len(classes), s), kind), np.empty(len(classes), kind)
+        alpha = np.broadcast_to(first, (len(part), s))
+        for t, rows in enumerate(steps):
+            now, scale = alphas[rows], scales[rows]
             if t:
-                move += alphas[begin[t - 1] : begin[t - 1] + a].T @ seen
-            alphas[here] *= beta[:a]
-            beta[:a] = seen @ model.move.T if t else beta[:a]
-        start += alphas[: active[0]].sum(0)
+                np.matmul(alpha[: len(now)], ahead, out=now)
+                now *= seen[rows]
+            else:
+                np.multiply(alpha, seen[rows], out=now)
+            np.matmul(now, ones, out=scale)
+            now /= scale[:, None]
+            alpha = now
+        fit += np.log(scales).sum(dtype=float)
+        # Backwards only the emissions times beta are kept; all else follows for all steps at once.
+        seen /= scales[:, None]
+        beta = np.ones((len(part), s), kind)
+        for rows in reversed(steps):
+            now = seen[rows]
+            own = beta[: len(now)]
+            now *= own
+            np.matmul(now, back, out=own)
+        sizes = np.array([rows.stop - rows.start for rows in steps])
+        later = seen[len(part) :]
+        earlier = np.arange(len(part), len(classes)) - np.repeat(sizes[:-1], sizes[1:])
+        move += alphas[earlier].T @ later
+        betas = np.ones_like(alphas)
+        betas[earlier] = later @ back
+        alphas *= betas
+        start += alphas[: len(part)].sum(0)
         for k in range(s):
             emit[:, k] += np.bincount(classes, alphas[:, k], len(emit))
     return start, move * model.move, emit, float(fit)
@@ -202,7 +216,8 @@ def encode(texts: DataFrame, numbers: Numbers) -> DataFrame:
         for rows in _pieces([(t,) for t in b.column(0).to_pylist()] for b in batches):
             yield pa.RecordBatch.from_arrays([pa.array([d.astype(kind).tobytes() for d in _class_docs([r[0] for r in rows], own)], pa.binary())], ["codes"])
 
-    return stage(texts.mapInArrow(number, "codes binary"), "codes")
+    # Texts of like length share steps, so each partition is written in the order of length.
+    return stage(texts.mapInArrow(number, "codes binary").sortWithinPartitions(F.length("codes")), "codes")
 
 
 def _kind(highest: int) -> str:
@@ -217,7 +232,7 @@ def baum_welch(codes: DataFrame, model: Model, share: np.ndarray) -> tuple[Model
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = shared.value, np.zeros((height, s))
         for rows in _pieces(([(c,) for c in b.column(0).to_pylist()] for b in batches), _CHUNK // 3):
-            start, move, emit, fit = _expectation(own, [np.frombuffer(r[0], kind).astype(np.int32) for r in rows])
+            start, move, emit, fit = _expectation(own, [np.frombuffer(r[0], kind).astype(np.int32) for r in rows], np.float32)
             total[:-1] += np.concatenate([move, start[None], emit])
             total[-1, 0] += fit
         row, state = np.nonzero(total)

@@ -31,6 +31,20 @@ def test_forward_sums_over_all_paths():
     assert np.exp(hmm.likelihoods(m, every)).sum() == pytest.approx(1)
 
 
+def test_order_and_precision_do_not_change_the_likelihood():
+    rng = np.random.default_rng(8)
+    share = rng.dirichlet(np.ones(40))
+    m = hmm.Model.first(share, 4)
+    docs = [rng.integers(0, 40, int(n)).astype(np.int32) for n in rng.integers(1, 700, 60)]
+    plain = hmm._expectation(m, docs)
+    assert plain[3] == pytest.approx(hmm.likelihoods(m, docs).sum(), rel=1e-12)
+    for other in (hmm._expectation(m, sorted(docs, key=len)), hmm._expectation(m, docs[::-1])):
+        assert all(np.allclose(x, y, rtol=1e-9) for x, y in zip(plain, other, strict=True))
+    single = hmm._expectation(m, docs, np.float32)
+    assert single[3] == pytest.approx(plain[3], rel=1e-7)
+    assert all(np.allclose(x, y, rtol=1e-3, atol=1e-3) for x, y in zip(plain[:3], single[:3], strict=True))
+
+
 def test_expected_counts_and_rising_likelihood():
     m, rng = model_of(6, 3), np.random.default_rng(0)
     docs = [rng.integers(0, 6, n) for n in (40, 7, 1, 90)]
