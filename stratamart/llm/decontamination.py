@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stage, table
+from stratamart.llm.common import stage, table, unused
 
 WIDTH = 13
 MAX_QUERY_WORDS = 5_000_000
@@ -242,7 +242,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, slop: int = 0, width: int = W
                 found = {(int(s), int(s + q.lengths[w] - 1), int(w)) for w, s in zip(window, start, strict=True)}
                 if slop:
                     found |= _near(q, dict(zip(used.tolist(), np.split(at, np.cumsum(counts)[:-1]), strict=True)), begins + lengths, slop)
-                rows = [(int(ids[d]), item, s - int(begins[d]), e - int(begins[d])) for s, e, w in sorted(found) for d in [int(np.searchsorted(begins, s, "right")) - 1] for item in q.items[w]]
+                no_id = np.frombuffer(row["no_id"], np.bool_)
+                rows = [(None if no_id[d] else int(ids[d]), item, s - int(begins[d]), e - int(begins[d])) for s, e, w in sorted(found) for d in [int(np.searchsorted(begins, s, "right")) - 1] for item in q.items[w]]
                 columns = zip(*rows, strict=True) if rows else [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "item_id", "first", "last"])
 
@@ -268,8 +269,9 @@ def _near(queries: Queries, postings: dict[int, np.ndarray], ends: np.ndarray, s
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents; the verdict is joined by id and text."""
-    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_key"))
+    bad_id, bad_key = unused(docs, "bad_id", "bad_key")
+    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.xxhash64("text") == F.col(bad_key))
     return docs.join(bad, same, "left_anti")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stage, table
+from stratamart.llm.common import stage, table, unused
 from stratamart.llm.graph import components, local_roots
 from stratamart.llm.hashing import Words, mix, shingles
 
@@ -207,10 +207,11 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one with the smallest id."""
     verdict = stage(near_duplicates(docs, **how), "verdict")
     key = F.unhex(F.md5("text"))
+    v_id, v_key = unused(docs, "v_id", "v_key")
 
     def among(rows: DataFrame) -> tuple[DataFrame, object]:
-        chosen = rows.select(F.col("doc_id").alias("v_id"), F.col("key").alias("v_key")).distinct()
-        return chosen, F.col("doc_id").eqNullSafe(F.col("v_id")) & (key == F.col("v_key"))
+        chosen = rows.select(F.col("doc_id").alias(v_id), F.col("key").alias(v_key)).distinct()
+        return chosen, F.col("doc_id").eqNullSafe(F.col(v_id)) & (key == F.col(v_key))
 
     rest = docs.join(*among(verdict.filter("NOT kept")), "left_anti")
     if verdict.filter("kept AND repeated").isEmpty():

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import n_words, stage, table
+from stratamart.llm.common import n_words, stage, table, unused
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -109,22 +109,35 @@ def mixing_plan(
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """``docs`` with size, source_size, target and copies: how often the mix repeats each document."""
-    plan = stage(mixing_plan(docs, weights, max_epochs, seed).withColumnRenamed("source", "plan_source"), "mix-plan")
-    own = [c for c in docs.columns if c not in {"size", "source_size", "target", "copies"}]
-    extra = ((F.col("size") > 0) & (_key(F.col("doc_id"), seed) <= F.col("last_key"))).cast("long")
-    sized = docs.select(*own, n_words(F.col("text")).alias("size"))
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
-        *own, "size", "source_size", "target",
-        F.least(F.col("whole") + extra, F.lit(max_epochs)).cast("long").alias("copies"),
+def _mixed(docs: DataFrame, names: list[str], weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """``docs`` with size, source_size, target and copies under ``names``, none of which it has."""
+    plan = stage(mixing_plan(docs, weights, max_epochs, seed), "mix-plan")
+    size, packed = names[0], unused(docs, "plan")[0]
+    # One struct holds the plan, so that no column of the documents meets a name of it.
+    plan = plan.select(F.struct(*plan.columns).alias(packed))
+    of = lambda name: F.col(f"{packed}.{name}")
+    extra = ((F.col(size) > 0) & (_key(F.col("doc_id"), seed) <= of("last_key"))).cast("long")
+    return docs.withColumn(size, n_words(F.col("text"))).join(plan, F.col("source").eqNullSafe(of("source"))).select(
+        *docs.columns, size, of("source_size").alias(names[1]), of("target").alias(names[2]),
+        F.least(of("whole") + extra, F.lit(max_epochs)).cast("long").alias(names[3]),
     )
 
 
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """``docs`` with size, source_size, target and copies (columns of these names are replaced): how often the mix repeats each document."""
+    names = ["size", "source_size", "target", "copies"]
+    return _mixed(docs.select(*[c for c in docs.columns if c.lower() not in names]), names, weights, max_epochs, seed)
+
+
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with ``repetition`` 1, 2, ..."""
-    repeats = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mix(docs, **how).filter("copies > 0").select(*docs.columns, repeats.alias("repetition"))
+    """The mix itself: every document as often as it is taken, with ``repetition`` 1, 2, ...
+
+    All columns of ``docs`` stay as they are; if one is called repetition, the new one is ``repetition_``.
+    """
+    names = unused(docs, "size", "source_size", "target", "copies", "repetition")
+    copies, repetition = names[3:]
+    repeats = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))
+    return _mixed(docs, names[:4], **how).filter(F.col(copies) > 0).select(*docs.columns, repeats.alias(repetition))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stage, table
+from stratamart.llm.common import stage, table, unused
 
 SAMPLE_TOXIC = 6_000
 SAMPLE_CLEAN = 12_000
@@ -266,21 +266,22 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     return Model(lexicon, weights), hits
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``toxicity`` (replaced if there is one)."""
+def scores(docs: DataFrame, model: Model, out: str = "toxicity") -> DataFrame:
+    """``docs`` with a column ``out`` (replaced if there is one)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def toxicity(texts: pd.Series) -> pd.Series:
         return texts.map(shared.value.score).astype("float64")
 
-    return docs.withColumn("toxicity", toxicity("text"))
+    return docs.withColumn(out, toxicity("text"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = REJECT) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more."""
     model, _ = train(docs, labels)
-    return scores(docs, model).filter(F.col("toxicity") < threshold).select(*docs.columns)
+    score = unused(docs, "score")[0]
+    return scores(docs, model, score).filter(F.col(score) < threshold).select(*docs.columns)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

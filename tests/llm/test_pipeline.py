@@ -66,11 +66,52 @@ def test_pipeline_equals_brute_force(spark, sf, tmp_path):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_queries_equal_their_sql(spark, sf, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "embeddings"):
+    for table in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
-    expected = con.execute(registry.ORACLE_SQL[name]).fetchdf()
-    got = registry.QUERIES[name](spark, sf).toPandas()
+    got = registry.QUERIES[name](spark, sf)
     columns = sorted(got.columns)
-    assert columns == sorted(expected.columns)
-    plain = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else str(v) for v in r) for r in df[columns].itertuples(index=False))
-    assert plain(got) == plain(expected)
+    assert columns == sorted(c[0] for c in con.execute(registry.ORACLE_SQL[name]).description)
+    expected = con.execute(f"SELECT {', '.join(columns)} FROM ({registry.ORACLE_SQL[name]})").fetchall()
+    plain = lambda rows: sorted(tuple(round(v, 6) if isinstance(v, float) else str(v) for v in r) for r in rows)
+    assert plain(got.select(*columns).collect()) == plain(expected)
+
+
+# Names that the stages use inside, as columns of the caller.
+INNER = [
+    "whole", "last_key", "plan_source", "plan", "size", "source_size", "target", "copies", "repetition", "toxicity", "score", "v_id", "v_key", "key",
+    "bad_id", "bad_key", "class_id", "kept", "repeated", "text_key", "contaminated", "found", "hit", "words", "spans", "codes", "root", "node",
+]
+
+
+def run_stages(spark, docs, sf, folder):
+    """The stages as ``run`` applies them, on other documents."""
+    for k, (_, apply) in enumerate(corpus_pipeline.STAGES):
+        apply(spark, docs, sf).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs
+
+
+def test_columns_of_any_name_pass_through_every_stage(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    extra = docs.selectExpr("*", *[f"concat('{name} ', doc_id) AS {name}" for name in INNER])
+    plain = {(r.doc_id, r.repetition): r for r in run_stages(spark, docs, sf, str(tmp_path / "plain")).collect()}
+    found = run_stages(spark, extra, sf, str(tmp_path / "extra")).collect()
+    assert {(r.doc_id, r.repetition_) for r in found} == set(plain) and len(found) == len(plain) > 0
+    for r in found:
+        assert r.text == plain[r.doc_id, r.repetition_].text
+        assert all(r[name] == f"{name} {r.doc_id}" for name in INNER)
+
+
+def test_pipeline_of_odd_documents(spark, documents, no_documents, sf, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows; and no documents at all."""
+    found = run_stages(spark, documents, sf, str(tmp_path / "odd")).collect()
+    kept = {(r.doc_id, r.text) for r in found}
+    assert {1, 4, 9} <= {i for i, _ in kept} and not {2, 3} & {i for i, _ in kept}
+    assert all(1 <= r.repetition <= 3 for r in found) and len({(r.doc_id, r.text, r.repetition) for r in found}) == len(found)
+    assert run_stages(spark, no_documents, sf, str(tmp_path / "none")).count() == 0
+
+
+def test_matches_keep_null_ids(spark, no_documents):
+    docs = spark.createDataFrame([(None, "alpha beta gamma"), (3, "alpha beta gamma")], "doc_id long, text string")
+    items = spark.createDataFrame([("1", "alpha beta gamma")], "item_id string, text string")
+    assert sorted(decontamination.matches(docs, items).collect(), key=repr) == [(3, "1", 0, 2), (None, "1", 0, 2)]
