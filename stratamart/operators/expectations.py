@@ -35,6 +35,7 @@ class ExpectationFailed(RuntimeError):
         super().__init__(f"{table}: {', '.join(f'{name} ({count} rows)' for name, count in failed.items())}")
 
 
+# Names, conditions and actions of the Silver rules, here and below.
 PRODUCT_RULES = (
     Expectation("valid_product_id", "product_id IS NOT NULL", FAIL),
     Expectation("valid_cost_price", "price IS NOT NULL AND price > 0", FAIL),
