@@ -44,8 +44,25 @@ def test_decontaminate_keeps_clean_rows(spark, documents, no_documents):
     none = spark.createDataFrame([], ITEMS)
     assert decontamination.decontaminate(documents, none).count() == documents.count()
     assert decontamination.contamination(no_documents, items).count() == 0
-    with pytest.raises(ValueError):
-        decontamination.contamination(documents, items, max_query_words=3)
+
+
+def test_small_slices_find_what_one_slice_finds(spark, documents):
+    """A benchmark beyond a slice, with items beyond a slice, equal windows in several slices and a document hit by many."""
+    items = [(1, phrase(2, 40)), (2, phrase(2, 20)), (3, "One, TWO!"), (4, None), (5, phrase(3, 14)), (6, phrase(3, 13)), (7, phrase(2, 40))]
+    benchmark = spark.createDataFrame(items, ITEMS)
+    extra = spark.createDataFrame([doc(60, phrase(2, 40) + " " + phrase(3, 14) + " one two"), doc(61, phrase(2, 30))], DOCS)
+    df = documents.unionByName(extra)
+    shards = decontamination.index(df, 300)
+    whole = sorted(map(repr, decontamination.judge(shards, benchmark).collect()))
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    brute = sorted(repr((i, *brute_hits(t, items))) for i, t in rows)
+    assert sorted(repr(tuple(r)[:1] + tuple(r)[2:]) for r in decontamination.judge(shards, benchmark).collect()) == brute
+    for slice_words in (1, 15, 33):
+        slices = list(decontamination.query_slices(benchmark, slice_words=slice_words))
+        assert len(slices) > 3 and all(len(q.terms) <= max(13, slice_words) for q in slices)
+        assert sorted(map(repr, decontamination.judge(shards, benchmark, slice_words=slice_words).collect())) == whole
+    exact = sorted(map(repr, decontamination.matches(df, benchmark).collect()))
+    assert sorted(map(repr, decontamination.matches(df, benchmark, slice_words=15).collect())) == exact
 
 
 def test_phrase_and_proximity_matches(spark):
