@@ -210,6 +210,7 @@ THRESHOLDS = (
     Threshold("drop_rate_pct", 30, 50),
     Threshold("cdc_lag_minutes", 10, 30),
     Threshold("failed_runs", 1, 3, inclusive=True),
+    Threshold("conversion_accuracy_pct", 95, 90, low_is_bad=True),
 )
 STRICT_DROP_RATE = Threshold("drop_rate_pct", 10, 30)
 
@@ -236,21 +237,31 @@ def alerts(metrics: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     )
 
 
-def alert_metrics(log: DataFrame, changes: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """The metrics the thresholds are about, as ``(metric, subject, value)``."""
+def alert_metrics(
+    log: DataFrame, changes: DataFrame, as_of: Column | None = None, currency_distribution: DataFrame | None = None
+) -> DataFrame:
+    """The metrics the thresholds are about, as ``(metric, subject, value)``.
+
+    Conversion accuracy is one of them where ``currency_distribution`` is given;
+    take the one of all payments, as dropping mismatches hides them.
+    """
 
     def rows(df: DataFrame, metric: str, subject: Column, value: str) -> DataFrame:
         return df.select(F.lit(metric).alias("metric"), subject.alias("subject"), F.col(value).cast("double").alias("value"))
 
     summary = expectation_summary(log, as_of)
     rule = F.concat_ws(".", "table_name", "expectation_name")
-    return (
+    metrics = (
         rows(latest_run(log), "duration_minutes", F.col("update_id"), "duration_minutes")
         .unionByName(rows(summary, "pass_rate_pct", rule, "pass_rate_pct"))
         .unionByName(rows(row_count_deltas(log, as_of), "drop_rate_pct", F.col("bronze_table"), "drop_rate_pct"))
         .unionByName(rows(cdc_lag(changes, as_of, None), "cdc_lag_minutes", F.col("table_name"), "lag_minutes"))
         .unionByName(rows(failed_runs(log, as_of), "failed_runs", F.lit("last 24 hours"), "failed_runs"))
     )
+    if currency_distribution is None:
+        return metrics
+    accuracy = rows(currency_distribution, "conversion_accuracy_pct", F.col("currency"), "conversion_accuracy_pct")
+    return metrics.unionByName(accuracy)
 
 
 # --- writing the log ------------------------------------------------------------

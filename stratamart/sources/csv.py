@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
@@ -32,6 +33,30 @@ def read_csv_bronze(
     return reader.schema(schema).csv(path)
 
 
+def read_csv_cells(spark: SparkSession, path: str, schema: T.StructType, rescued: str = RESCUED) -> DataFrame:
+    """As ``read_csv_bronze`` with a schema, but cell by cell: good cells are typed, misfits are rescued by name.
+
+    ``rescued`` is a JSON object of the cells that don't fit their column, by
+    column name and as they were written, and NULL where all fit. An empty cell
+    is NULL and fits. A line with too few or too many cells keeps those that
+    are in place and lands there whole under the name ``rescued`` itself.
+    """
+    if rescued in schema.names:
+        raise ValueError(f"the column {rescued} is taken; name another one")
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, rescued]])
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rescued)
+    text = {name: F.col(f"`{name}`") for name in schema.names}
+    typed = {field.name: text[field.name].try_cast(field.dataType) for field in schema.fields}
+    misfits = [(name, text[name].isNotNull() & typed[name].isNull()) for name in schema.names]
+    misfits.append((rescued, F.col(rescued).isNotNull()))
+    cells = F.array(*[F.when(bad, F.struct(F.lit(name).alias("name"), F.col(f"`{name}`").alias("cell"))) for name, bad in misfits])
+    found = F.array_compact(cells)
+    return reader.schema(texts).csv(path).select(
+        *[typed[name].alias(name) for name in schema.names],
+        F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found))).alias(rescued),
+    )
+
+
 def bronze_name(file_name: str) -> str:
     """Bronze table name of a CSV file: its stem plus ``_bronze``."""
     stem = file_name.rstrip("/").rsplit("/", 1)[-1]

@@ -26,12 +26,20 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/{COMMITS}")
 
 
+def committed_versions(spark: SparkSession, path: str) -> DataFrame:
+    """``(version)``: all versions of a table that were ever published."""
+    if not exists(spark, f"{path}/{COMMITS}"):
+        return spark.createDataFrame([], "version string")
+    return _commits(spark, path).select("version")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _write_version(df: DataFrame, path: str, partition_by: Sequence[str], options: Mapping[str, str] | None = None) -> str:
+def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> str:
+    """Write the folder of a new version; ``commit`` makes it the current one."""
     version = f"version-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists").options(**(options or {}))
     if partition_by:
@@ -57,7 +65,7 @@ def _next_sequence(spark: SparkSession, path: str) -> int:
         sequence += 1
 
 
-def _commit(spark: SparkSession, path: str, version: str) -> None:
+def commit(spark: SparkSession, path: str, version: str) -> None:
     entry = spark.range(1).select(F.lit(_next_sequence(spark, path)).cast("bigint").alias("sequence"), F.lit(version).alias("version"))
     entry.coalesce(1).write.mode("append").parquet(f"{path}/{COMMITS}")
 
@@ -100,8 +108,8 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> DataFrame:
     """Full refresh: write a new version, then make it the current one; ``options`` go to the file writer."""
-    version = _write_version(df, path, partition_by, options)
-    _commit(df.sparkSession, path, version)
+    version = write_version(df, path, partition_by, options)
+    commit(df.sparkSession, path, version)
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
@@ -153,11 +161,11 @@ def publish(df: DataFrame, observation: Observation, rules, table: str, path: st
     Returns the observed counts. On failure the previous version stays current,
     the unpublished one is removed and ``ExpectationFailed`` is raised.
     """
-    version = _write_version(df, path, ())
+    version = write_version(df, path, ())
     counts = observation.get
     failed = expect.failed_rules(counts, rules)
     if failed:
         _delete(df.sparkSession, f"{path}/{version}")
         raise expect.ExpectationFailed(table, failed)
-    _commit(df.sparkSession, path, version)
+    commit(df.sparkSession, path, version)
     return counts

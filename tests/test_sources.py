@@ -110,3 +110,19 @@ def test_positions_over_many_splits_without_a_single_partition(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_misfit_cells_are_rescued_by_name(spark, tmp_path):
+    lines = ["id,price,day,note", "1,2.50,2024-01-01,fine", "x,cheap,2024-01-02,\"a, b\"", "3,,not a day,", "4,1", "5,1,2024-01-03,n,extra", ",,,"]
+    (tmp_path / "cells.csv").write_text("\n".join(lines) + "\n")
+    schema = T.StructType.fromDDL("id int, price decimal(10,2), day date, note string")
+    rows = csv.read_csv_cells(spark, str(tmp_path / "cells.csv"), schema).collect()
+    assert rows[0][csv.RESCUED] is None and (rows[0]["id"], rows[0]["note"]) == (1, "fine")
+    assert json.loads(rows[1][csv.RESCUED]) == {"id": "x", "price": "cheap"}
+    assert (rows[1]["id"], rows[1]["price"], str(rows[1]["day"]), rows[1]["note"]) == (None, None, "2024-01-02", "a, b")
+    assert json.loads(rows[2][csv.RESCUED]) == {"day": "not a day"} and rows[2]["id"] == 3
+    assert json.loads(rows[3][csv.RESCUED]) == {csv.RESCUED: "4,1"} and rows[3]["id"] == 4
+    assert json.loads(rows[4][csv.RESCUED]) == {csv.RESCUED: "5,1,2024-01-03,n,extra"} and rows[4]["note"] == "n"
+    assert rows[5][csv.RESCUED] is None
+    with pytest.raises(ValueError):
+        csv.read_csv_cells(spark, "x", T.StructType.fromDDL(f"{csv.RESCUED} string"))

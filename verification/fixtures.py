@@ -187,6 +187,14 @@ class Sources:
             F.when(external, F.concat(F.lit('{"order":'), key.cast("string"), F.lit("}"))).alias("stripe_metadata"),
         )
 
+    def payment_fanned(self) -> DataFrame:
+        """The payments again, with none for every fifth order and three for a third of the others."""
+        key = F.col("order_id")
+        copies = F.when(key % 5 == 0, 0).when(key % 3 == 1, 3).otherwise(1)
+        split = Sources.payment(self).select("*", F.explode(F.slice(F.array(F.lit(1), F.lit(2), F.lit(3)), 1, copies)).alias("part"))
+        amount = F.when(F.col("part") == 1, F.col("amount")).otherwise((F.col("part") * 10).cast(MONEY))
+        return split.withColumns({"payment_id": F.col("payment_id") * 4 + F.col("part"), "amount": amount}).drop("part")
+
     def export_elements(self, events: DataFrame | None = None) -> DataFrame:
         """``(position, raw)``: every event as one payment of an export, as JSON text.
 

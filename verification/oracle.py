@@ -346,6 +346,13 @@ ORACLES = {
                CAST(sum(CASE WHEN l_linenumber <> 7 THEN quantity END) AS BIGINT) AS quantity,
                CAST(sum(l_partkey) AS BIGINT) AS product_ids
         FROM (SELECT *, CAST(floor(l_quantity) AS INT) AS quantity FROM lineitem) GROUP BY 1""",
+    "s2_rescued_cells": """
+        SELECT order_item_id, order_id, CASE WHEN order_item_id % 10 NOT IN (2, 7) THEN product_id END AS product_id,
+               CASE WHEN order_item_id % 10 <> 7 THEN quantity END AS quantity,
+               CASE order_item_id % 10
+                    WHEN 2 THEN concat('{"product_id":"p', CAST(product_id AS VARCHAR), '"}')
+                    WHEN 7 THEN concat('{"product_id":"p', CAST(product_id AS VARCHAR), '","quantity":"n/a"}') END AS rescued
+        FROM x_item""",
     "s3_payment_export": "SELECT id, amount_received, currency, created, status, customer, description FROM x_export",
     "s4_export_documents": """
         SELECT kind IN (0, 2) AS readable, count(DISTINCT chunk) AS documents, count(*) FILTER (kind = 0) AS payments
@@ -409,6 +416,18 @@ ORACLES = {
         SELECT count(*) AS payments_read, count(*) FILTER (load_status = 'inserted') AS payments_inserted,
                count(*) FILTER (load_status = 'skipped') AS payments_skipped, count(*) FILTER (load_status = 'error') AS errors
         FROM x_status""",
+    "i7_quarantine_replay": f"""
+        WITH a AS (SELECT 1 AS step, position, stripe_payment_id, amount FROM x_status WHERE load_status = 'inserted'
+                   UNION ALL
+                   SELECT 2, position, stripe_payment_id, {_usd('cents', 'currency')}
+                   FROM (SELECT position, stripe_payment_id, coalesce(stripe_amount_cents, 0) AS cents, coalesce(stripe_currency, 'usd') AS currency,
+                                row_number() OVER (PARTITION BY stripe_payment_id ORDER BY position) AS n
+                         FROM x_status WHERE load_status = 'error' AND first_ok IS NULL) WHERE n = 1)
+        SELECT (SELECT max(payment_id) FROM x_payment) + row_number() OVER (ORDER BY step, position) AS payment_id,
+               stripe_payment_id, {_d('amount')}, 0 AS open_entries FROM a""",
+    "x16_metadata_variant": f"""
+        SELECT CAST(json_extract(metadata, '$.k') AS BIGINT) AS k, count(*) AS payments, {_d('sum(m.amount)', 'amount')},
+               0 AS absent, 0 AS invalid FROM x_mapped m JOIN x_export e ON e.position = m.position GROUP BY 1""",
     "i8_load_status": "SELECT position, stripe_payment_id, load_status FROM x_status",
     "i9_rates_used": f"""
         SELECT currency, CAST({PAYMENT_RATE.format('currency')} AS DOUBLE) AS rate
@@ -471,6 +490,25 @@ ORACLES = {
             "stripe_currency_exists": "stripe_payment_id IS NULL OR stripe_currency IS NOT NULL",
             "conversion_accuracy": "conversion_validation_status <> 'conversion_mismatch'"}),
     ]),
+    "q2_fail_rules": " UNION ALL ".join([
+        _rules("product_silver", """(SELECT CASE WHEN product_id % 11 <> 3 THEN product_id END AS product_id,
+                CASE WHEN product_id % 13 = 5 THEN -price ELSE price END AS price,
+                CASE WHEN product_id % 17 <> 7 THEN sell_price END AS sell_price FROM x_product)""", {
+            "valid_product_id": "product_id IS NOT NULL", "valid_cost_price": "price > 0", "valid_sell_price": "sell_price > 0"}),
+        _rules("customer_silver", "(SELECT CASE WHEN customer_id % 19 <> 4 THEN customer_id END AS customer_id FROM x_customer_silver)", {
+            "valid_customer_id": "customer_id IS NOT NULL"}),
+        _rules("order_silver", """(SELECT CASE WHEN s.order_id % 23 <> 6 THEN s.order_id END AS order_id
+                FROM x_order_silver s LEFT JOIN x_payment p ON p.order_id = s.order_id)""", {"valid_order_id": "order_id IS NOT NULL"}),
+        _rules("payment_silver", """(SELECT CASE WHEN payment_id % 29 <> 8 THEN payment_id END AS payment_id,
+                CASE WHEN payment_id % 31 = 9 THEN -amount WHEN payment_id % 31 <> 10 THEN amount END AS amount,
+                CASE WHEN payment_id % 37 <> 10 THEN stripe_status END AS stripe_status, stripe_payment_id FROM x_payment_silver)""", {
+            "valid_payment_id": "payment_id IS NOT NULL", "valid_payment_amount": "amount >= 0",
+            "stripe_status_exists": "stripe_payment_id IS NULL OR stripe_status IS NOT NULL"}),
+    ]),
+    "ag2_sketched_customers": """
+        SELECT order_status, count(*) AS orders, count(DISTINCT customer_id) AS customers, true AS within_error
+        FROM x_orders GROUP BY 1""",
+    "ag10_sketched_median": "SELECT payment_source, count(*) AS payments, true AS within_error FROM x_payment_kept GROUP BY 1",
     "q3_violations_customer": """
         SELECT customer_id, concat_ws(',', CASE WHEN country IS NULL THEN 'has_country' END,
                                            CASE WHEN is_active IS NULL THEN 'has_active_status' END) AS violated_rules
@@ -701,7 +739,13 @@ ORACLES = {
             FROM (SELECT event_type, floor(epoch((SELECT now FROM x_now) - max(ts)) / 60) AS lag FROM events GROUP BY 1)
             UNION ALL
             SELECT 'failed_runs', 'last 24 hours', CAST(n AS DOUBLE), CASE WHEN n >= 3 THEN 'CRITICAL' WHEN n >= 1 THEN 'WARNING' END
-            FROM (SELECT count(*) FILTER (state = 'FAILED') AS n FROM x_run, x_now WHERE ts >= now - INTERVAL 24 HOUR))
+            FROM (SELECT count(*) FILTER (state = 'FAILED') AS n FROM x_run, x_now WHERE ts >= now - INTERVAL 24 HOUR)
+            UNION ALL
+            SELECT 'conversion_accuracy_pct', currency, conversion_accuracy_pct,
+                   CASE WHEN conversion_accuracy_pct < 90 THEN 'CRITICAL' WHEN conversion_accuracy_pct < 95 THEN 'WARNING' END
+            FROM (SELECT coalesce(stripe_currency, 'Legacy') AS currency,
+                         round(CAST(count(*) FILTER (conversion_validation_status = 'valid') AS DOUBLE) / count(*) * 100, 6) AS conversion_accuracy_pct
+                  FROM x_payment_silver GROUP BY 1))
         WHERE severity IS NOT NULL""",
     "m8_failed_runs": """
         SELECT count(*) FILTER (state = 'FAILED') AS failed_runs FROM x_run, x_now WHERE ts >= now - INTERVAL 24 HOUR""",
@@ -776,14 +820,29 @@ def _needed(text: str, found: dict[str, None]) -> None:
             found[name] = None
 
 
-def with_views(body: str) -> str:
+# Payments with none, one or three an order.
+FANNED_PAYMENT = """
+    SELECT * EXCLUDE (part) REPLACE (payment_id * 4 + part AS payment_id,
+           CASE WHEN part = 1 THEN amount ELSE CAST(part * 10 AS DECIMAL(18,2)) END AS amount)
+    FROM (SELECT *, unnest(range(1, CASE WHEN order_id % 5 = 0 THEN 1 WHEN order_id % 3 = 1 THEN 4 ELSE 2 END)) AS part FROM x_single_payment)"""
+FANNED = {
+    "j7_order_fan_out": "v3_order_declarative", "j7_profit_fan_out": "g3_product_profit_declarative",
+    "j7_region_fan_out": "g6_sales_region_declarative", "j7_country_fan_out": "g7_sales_country_declarative",
+}
+
+
+def with_views(body: str, fanned: bool = False) -> str:
     found: dict[str, None] = {}
     _needed(body, found)
     if not found:
         return body.strip()
-    ctes = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in found)
+    views = {name: VIEWS[name].strip() for name in found}
+    if fanned:
+        views = {"x_single_payment": VIEWS["x_payment"].strip(), **views, "x_payment": FANNED_PAYMENT.strip()}
+    ctes = ",\n".join(f"{name} AS ({text})" for name, text in views.items())
     return f"WITH {ctes}\nSELECT * FROM ({body.strip()}) AS result"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(body) for name, body in ORACLES.items()}
+    plain = {name: with_views(body) for name, body in ORACLES.items()}
+    return plain | {name: with_views(ORACLES[same], fanned=True) for name, same in FANNED.items()}

@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 from stratamart.functions import fx
 from stratamart.functions.geography import map_region
 from stratamart.operators import analysis, expectations as expect, gold, ingest, monitor, quality, silver
+from stratamart.operators.quarantine import Quarantine
+from stratamart.operators.sketches import RANK_ERROR, DailySketches, relative_error
 from stratamart.plans import direct, medallion
 from stratamart.plans.variants import BUNDLE, DECLARATIVE, NOTEBOOK, PG
 from stratamart.session import configure, shared_folder
-from stratamart.sources import csv, payment_export, sinks
+from stratamart.sources import csv, payment_export, semi_structured, sinks
 from stratamart.sources.known_ids import KnownIds
 from stratamart.streaming import bronze, payments as payment_stream
 from verification.fixtures import Sources
@@ -95,6 +97,13 @@ class Tables(Sources):
         return sinks.stage(self.payments_mapped().drop("raw"), "payments_mapped")
 
 
+class FannedTables(Tables):
+    """The same with no, one or three payments an order."""
+
+    def payment(self) -> DataFrame:
+        return self.payment_fanned()
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -151,6 +160,19 @@ def s2_csv_rescued(t):
     )
 
 
+@query
+def s2_rescued_cells(t):
+    """Order items with up to two malformed cells a row: the others stay typed, the misfits are named."""
+    path = t.scratch("order_item_cells")
+    line, items = F.col("order_item_id") % 10, t.order_item()
+    bad = {
+        "quantity": F.when(line == 7, "n/a").otherwise(F.col("quantity").cast("string")),
+        "product_id": F.when((line == 7) | (line == 2), F.concat(F.lit("p"), F.col("product_id").cast("string"))).otherwise(F.col("product_id").cast("string")),
+    }
+    items.withColumns(bad).write.option("header", True).csv(path)
+    return csv.read_csv_cells(t.spark, path, items.schema).withColumnRenamed(csv.RESCUED, "rescued")
+
+
 def _export(t) -> DataFrame:
     """Events written as one export document per hundred events, and read back."""
     path = t.scratch("payment_export")
@@ -350,6 +372,35 @@ def i7_quarantine(t):
     return ingest.split_valid(t.payments_mapped())[1].select("position", "stripe_payment_id", "error_reason")
 
 
+@query
+def i7_quarantine_replay(t):
+    """A load that keeps its bad records, their repair, and the replay, which is run twice."""
+    table, quarantine = t.scratch("payments"), Quarantine(t.spark, t.scratch("quarantine"))
+    sinks.replace(t.payment(), table)
+    mapped = sinks.stage(t.payments_mapped(), "payments_mapped")
+    quarantine.load(mapped, table)
+    text = F.replace(F.replace("raw", F.lit('"amount_received":null'), F.lit('"amount_received":0')), F.lit('"currency":null'), F.lit('"currency":"usd"'))
+    repaired = quarantine.entries().select("content_key", text.alias("raw"))
+    quarantine.replay(repaired, table)
+    loaded = quarantine.replay(repaired, table)
+    still_open = quarantine.open(table).agg(F.count("*").alias("open_entries"))
+    before = t.payment().agg(F.max("payment_id").alias("before"))
+    added = loaded.crossJoin(F.broadcast(before)).where(F.col("payment_id") > F.col("before"))
+    return added.select("payment_id", "stripe_payment_id", "amount").crossJoin(F.broadcast(still_open))
+
+
+@query
+def x16_metadata_variant(t):
+    """Payments by a path of their metadata, which is parsed once, when it is written."""
+    parsed = semi_structured.as_variant(t.payments_mapped().select("amount", "stripe_metadata"), "stripe_metadata")
+    stored = sinks.stage(parsed, "payment_metadata")
+    found = semi_structured.paths(stored, "stripe_metadata", {"k": ("$.k", "bigint"), "absent": ("$.k.below", "string")})
+    return found.groupBy("k").agg(
+        F.count("*").alias("payments"), F.sum("amount").alias("amount"),
+        F.count("absent").alias("absent"), F.count(semi_structured.INVALID).alias("invalid"),
+    )
+
+
 @query
 def i8_load_summary(t):
     return ingest.load_summary(t.payments_staged(), t.payment())
@@ -507,6 +558,80 @@ def q2_expectation_results(t):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def q2_fail_rules(t):
+    """Every FAIL rule on tables that violate it."""
+    faults = {
+        "product_silver": {
+            "product_id": "CASE WHEN product_id % 11 <> 3 THEN product_id END",
+            "price": "CASE WHEN product_id % 13 = 5 THEN -price ELSE price END",
+            "sell_price": "CASE WHEN product_id % 17 <> 7 THEN sell_price END",
+        },
+        "customer_silver": {"customer_id": "CASE WHEN customer_id % 19 <> 4 THEN customer_id END"},
+        "order_silver": {"order_id": "CASE WHEN order_id % 23 <> 6 THEN order_id END"},
+        "payment_silver": {
+            "payment_id": "CASE WHEN payment_id % 29 <> 8 THEN payment_id END",
+            "amount": "CASE WHEN payment_id % 31 = 9 THEN -amount WHEN payment_id % 31 <> 10 THEN amount END",
+            "stripe_status": "CASE WHEN payment_id % 37 <> 10 THEN stripe_status END",
+        },
+    }
+    parts = []
+    for table, (df, rules) in _silver_with_rules(t).items():
+        broken = df.withColumns({name: F.expr(text) for name, text in faults[table].items()})
+        parts.append(expect.results(broken, table, [rule for rule in rules if rule.action == expect.FAIL]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _fanned(t) -> FannedTables:
+    return FannedTables(t.spark, t.folder)
+
+
+@query(money=6)
+def j7_order_fan_out(t):
+    """Order lines by payments: none, one or three an order, here and below."""
+    return _fanned(t).order_silver(DECLARATIVE)
+
+
+@query
+def j7_profit_fan_out(t):
+    return _fanned(t).product_profit()
+
+
+@query
+def j7_region_fan_out(t):
+    return _fanned(t).sales_region(DECLARATIVE)
+
+
+@query
+def j7_country_fan_out(t):
+    return _fanned(t).sales_country(DECLARATIVE)
+
+
+@query
+def ag2_sketched_customers(t):
+    """Customers per order status from daily sketches: the exact count, and whether the estimate is within its error."""
+    orders = t.orders()
+    sketches = DailySketches(t.spark, t.scratch("order_sketches"), ["order_status"], distinct=["customer_id"])
+    sketches.refresh(orders, F.col("order_date"))
+    exact = orders.groupBy("order_status").agg(F.count("*").alias("orders"), F.count_distinct("customer_id").alias("customers"))
+    off = F.abs(F.col("customer_id_count") - F.col("customers")) <= F.col("customers") * relative_error()
+    return sketches.estimate().join(exact, "order_status").select("order_status", "orders", "customers", (off & (F.col("rows") == F.col("orders"))).alias("within_error"))
+
+
+@query
+def ag10_sketched_median(t):
+    """Median payment per source from daily sketches: whether the estimate's exact rank is within the error."""
+    payments = t.payment_silver().select("payment_source", F.col("amount").cast("double").alias("amount"), "payment_date")
+    sketches = DailySketches(t.spark, t.scratch("payment_sketches"), ["payment_source"], quantiles=["amount"])
+    sketches.refresh(payments, F.col("payment_date"))
+    below, upto = F.col("amount") < F.col("amount_median"), F.col("amount") <= F.col("amount_median")
+    ranked = payments.join(F.broadcast(sketches.estimate().drop("rows")), "payment_source").groupBy("payment_source").agg(
+        F.count("*").alias("payments"), (F.count_if(below) / F.count("*")).alias("low"), (F.count_if(upto) / F.count("*")).alias("high")
+    )
+    near = (F.col("low") <= 0.5 + RANK_ERROR) & (F.col("high") >= 0.5 - RANK_ERROR)
+    return ranked.select("payment_source", "payments", near.alias("within_error"))
+
+
 @query
 def q3_violations_customer(t):
     rows = expect.violations(t.customer_raw(DECLARATIVE), expect.CUSTOMER_RULES)
@@ -887,7 +1012,7 @@ def m6_cdc_lag(t):
 @query
 def m7_alerts(t):
     log, changes, as_of = t.run_log(), t.changes(), t.as_of()
-    return monitor.alerts(monitor.alert_metrics(log, changes, as_of))
+    return monitor.alerts(monitor.alert_metrics(log, changes, as_of, gold.currency_distribution(t.payment_raw())))
 
 
 @query
