@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from stratamart.sources import sinks
 
-DAY = "sketch_day"
+DAY, MONTH = "sketch_day", "sketch_month"
 LG_K = 14
 K = 800
 RANK_ERROR = 0.01
@@ -30,7 +30,7 @@ def relative_error(lg_k: int = LG_K, deviations: int = 3) -> float:
 
 
 class DailySketches:
-    """Sketches per day and group in folder ``path``, partitioned by day.
+    """Sketches per day and group in folder ``path``, one folder a month.
 
     ``distinct`` columns are integers, strings or binary, ``quantiles`` numbers. NULLs are counted by neither. Names of
     groups and columns belong to the folder; another choice is another folder.
@@ -41,19 +41,32 @@ class DailySketches:
         self.distinct, self.quantiles = list(distinct), list(quantiles)
 
     def refresh(self, rows: DataFrame, day: Column) -> None:
-        """Sketch whole days; a day that is there already is replaced, the others stay."""
+        """Sketch whole days; a day that is there already is replaced, the others stay.
+
+        Rows without a day are a day of their own.
+        """
         sketches = [F.hll_sketch_agg(name, F.lit(LG_K)).alias(f"{name}_distinct") for name in self.distinct]
         sketches += [F.kll_sketch_agg_double(F.col(name).cast("double"), F.lit(K)).alias(f"{name}_quantiles") for name in self.quantiles]
         daily = rows.groupBy(day.cast("date").alias(DAY), *self.keys).agg(F.count("*").alias("rows"), *sketches)
-        # One file a day, not one per day and task.
-        daily.repartition(DAY).write.partitionBy(DAY).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
+        with sinks.staged(daily.withColumn(MONTH, F.trunc(DAY, "month")), "daily_sketches") as new:
+            if not sinks.exists(self.spark, self.path):
+                self._write(new)
+                return
+            stored = self.spark.read.parquet(self.path)
+            kept = stored.join(new.select(MONTH).distinct(), MONTH, "left_semi").join(new.select(DAY).distinct(), DAY, "left_anti")
+            with sinks.staged(new.unionByName(kept), "monthly_sketches") as months:
+                self._write(months)
+
+    def _write(self, months: DataFrame) -> None:
+        """Replace whole months, one file each."""
+        months.repartition(MONTH).write.partitionBy(MONTH).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
 
     def read(self, first: date | None = None, last: date | None = None) -> DataFrame:
-        """The sketches of a span of days; only its folders are read."""
+        """The sketches of a span of days; only the folders of its months are read."""
         stored = self.spark.read.parquet(self.path)
         if first is not None:
-            stored = stored.where(F.col(DAY) >= F.lit(first))
-        return stored if last is None else stored.where(F.col(DAY) <= F.lit(last))
+            stored = stored.where((F.col(MONTH) >= F.lit(first.replace(day=1))) & (F.col(DAY) >= F.lit(first)))
+        return stored if last is None else stored.where((F.col(MONTH) <= F.lit(last)) & (F.col(DAY) <= F.lit(last)))
 
     def merged(self, first: date | None = None, last: date | None = None) -> DataFrame:
         """One sketch per group over the span."""
@@ -78,7 +91,7 @@ class DailySketches:
         return self.merged(first, last).select(*self.keys, "rows", *counts, *found)
 
     def days(self) -> list[date]:
-        """The days there are, from the folder names."""
+        """The days there are."""
         if not sinks.exists(self.spark, self.path):
             return []
         return sorted(row[DAY] for row in self.spark.read.parquet(self.path).select(DAY).distinct().where(F.col(DAY).isNotNull()).collect())

@@ -23,7 +23,7 @@ def test_spans_are_unions_of_days(spark, tmp_path):
     first = sketches.estimate(last=date(2024, 1, 1)).collect()
     assert {r["rows"] for r in first} == {5_000}
     plan = sketches.read(date(2024, 1, 2), date(2024, 1, 3))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(sketch_day" in plan
+    assert "PartitionFilters: [isnotnull(sketch_month" in plan
 
 
 def test_a_day_is_replaced_and_the_others_stay(spark, tmp_path):
