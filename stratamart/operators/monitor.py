@@ -2,6 +2,9 @@
 
 The log has one ``update_progress`` row per run and one ``flow_progress`` row
 per run and dataset. Every time window is relative to ``as_of`` (default: now).
+A log kept by date (``record_run``, ``read_log``) has the partition column
+``log_date``, the date of ``timestamp``; windows then read their own dates only, and so does a
+look at one run, whose flows are logged no earlier than it started.
 """
 
 from __future__ import annotations
@@ -24,14 +27,21 @@ RUN_LOG_SCHEMA = """
     expectations array<struct<dataset: string, name: string, passed_records: bigint, failed_records: bigint>>
 """
 RUN, FLOW = "update_progress", "flow_progress"
+DATE = "log_date"
 
 
 def _now(as_of: Column | None) -> Column:
     return F.localtimestamp() if as_of is None else as_of
 
 
-def _since(as_of: Column | None, interval: str) -> Column:
-    return F.col("timestamp") >= _now(as_of) - F.expr(f"INTERVAL {interval}")
+def _dated_from(log: DataFrame, moment: Column) -> DataFrame:
+    """``log`` without the dates before ``moment``, if it is kept by date."""
+    return log.where(F.col(DATE) >= F.to_date(moment)) if DATE in log.columns else log
+
+
+def _within(log: DataFrame, as_of: Column | None, interval: str) -> DataFrame:
+    since = _now(as_of) - F.expr(f"INTERVAL {interval}")
+    return _dated_from(log, since).where(F.col("timestamp") >= since)
 
 
 def _seconds(start: str, end: str) -> Column:
@@ -47,13 +57,16 @@ def _flows(log: DataFrame) -> DataFrame:
 
 
 def _latest(rows: DataFrame) -> DataFrame:
+    if DATE in rows.columns:
+        # The date is found from dates alone; whole rows are read of that date only.
+        rows = rows.where(F.col(DATE).eqNullSafe(rows.agg(F.max(DATE)).scalar()))
     return rows.orderBy(F.desc("timestamp"), F.desc("update_id")).limit(1)
 
 
 def run_history(log: DataFrame, as_of: Column | None = None, n: int = 20) -> DataFrame:
     """The latest ``n`` runs of the last 24 hours."""
     state, cause = F.col("state"), F.col("cause")
-    recent = _runs(log).where(_since(as_of, "24 HOURS"))
+    recent = _within(_runs(log), as_of, "24 HOURS")
     return recent.orderBy(F.desc("timestamp"), F.desc("update_id")).limit(n).select(
         "update_id",
         "timestamp",
@@ -66,12 +79,13 @@ def run_history(log: DataFrame, as_of: Column | None = None, n: int = 20) -> Dat
 
 def expectation_summary(log: DataFrame, as_of: Column | None = None, window: str = "2 HOURS") -> DataFrame:
     """Pass rate per expectation of the latest run that reported flows in the window."""
-    recent = _flows(log).where(_since(as_of, window))
-    latest = recent.agg(F.max_by("update_id", F.struct("timestamp", "update_id")).alias("update_id"))
+    recent = _within(_flows(log), as_of, window)
+    # One row, so its fields are values to filter by; a flow without a start leaves all dates in.
+    latest = recent.agg(F.max_by(F.struct("update_id", "start_time"), F.struct("timestamp", "update_id")).alias("flow"))
+    begun = latest.select(F.coalesce("flow.start_time", F.lit("0001-01-01").cast("timestamp_ntz"))).scalar()
     checked = (
-        _flows(log)
-        .join(latest, "update_id", "left_semi")
-        .where(F.col("expectations").isNotNull())
+        _dated_from(_flows(log), begun)
+        .where((F.col("update_id") == latest.select("flow.update_id").scalar()) & F.col("expectations").isNotNull())
         .select(F.explode("expectations").alias("e"))
     )
     passed, failed = F.col("passed_count"), F.col("failed_count")
@@ -97,8 +111,7 @@ def row_count_deltas(
     match has NULL deltas and status OK.
     """
     counts = (
-        _flows(log)
-        .where(_since(as_of, window))
+        _within(_flows(log), as_of, window)
         .groupBy(F.col("origin.dataset").alias("table_name"))
         .agg(F.sum("num_output_rows").alias("row_count"))
     )
@@ -132,7 +145,7 @@ def latest_run(log: DataFrame, slow_minutes: int = 30) -> DataFrame:
         F.round(_seconds("timestamp", "end_time") / 60, 1).alias("duration_minutes"),
     )
     work = (
-        _flows(log)
+        _dated_from(_flows(log), F.coalesce(run.select("start_time").scalar(), F.lit("0001-01-01").cast("timestamp_ntz")))
         .join(run, "update_id", "left_semi")
         .agg(
             F.count_distinct("origin.dataset").alias("tables_updated"),
@@ -156,7 +169,7 @@ def duration_anomaly(log: DataFrame, as_of: Column | None = None) -> DataFrame:
     """
     completed = _runs(log).where(F.col("state") == "COMPLETED")
     seconds = _seconds("timestamp", "end_time")
-    history = completed.where(_since(as_of, "7 DAYS")).agg(
+    history = _within(completed, as_of, "7 DAYS").agg(
         (F.avg(seconds) / 60).alias("mean"), (F.stddev_samp(seconds) / 60).alias("deviation")
     )
     newest = _latest(completed).select((seconds / 60).alias("minutes"))
@@ -180,7 +193,7 @@ def cdc_lag(changes: DataFrame, as_of: Column | None = None, over_minutes: int |
 
 
 def failed_runs(log: DataFrame, as_of: Column | None = None) -> DataFrame:
-    return _runs(log).where(_since(as_of, "24 HOURS")).agg(
+    return _within(_runs(log), as_of, "24 HOURS").agg(
         F.count_if(F.col("state") == "FAILED").alias("failed_runs")
     )
 
@@ -288,9 +301,11 @@ def run_entries(
 
 
 def record_run(entries: DataFrame, path: str) -> None:
-    """Append one run's entries to the log table."""
-    entries.coalesce(1).write.mode("append").parquet(path)
+    """Append one run's entries to the log table, under their dates."""
+    dated = entries.withColumn(DATE, F.to_date("timestamp"))
+    dated.coalesce(1).write.mode("append").partitionBy(DATE).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+    """The log, with ``log_date`` for the windows to select by."""
+    return spark.read.schema(f"{RUN_LOG_SCHEMA.strip()}, {DATE} date").parquet(path)

@@ -89,7 +89,7 @@ def run(
     Each Silver table is written once and read back, so Gold never recomputes
     it and a lost executor costs at most the stage at hand. When a FAIL
     expectation is violated the run stops with the earlier versions in place
-    and is logged as FAILED.
+    and is logged as FAILED. A run that succeeds removes what earlier runs left over.
     """
     update_id = update_id or uuid.uuid4().hex
     started = _now()
@@ -112,10 +112,12 @@ def run(
             rows = build().observe(observation, F.count(F.lit(1)).alias("records"))
             published[name] = sinks.replace(rows, f"{out}/{name}")
             flows[name] = (observation.get["records"], {})
-        return published
     except Exception as failure:
         state, error = "FAILED", str(failure)
         raise
     finally:
         entries = monitor.run_entries(spark, update_id, started, _now(), state, cause, error, flows)
         monitor.record_run(entries, log_path)
+    for name in published:
+        sinks.collect_garbage(spark, f"{out}/{name}")
+    return published

@@ -8,6 +8,7 @@ in place.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -20,6 +21,10 @@ from stratamart.session import shared_folder
 
 COMMITS = "commits"
 COMMIT_SCHEMA = "sequence bigint, version string"
+CLAIMS, LEASES, STAGED = "_claims", "_leases", "staged"
+DAY = 86_400.0
+# Seconds a staged table, or a version its writer never committed, is kept.
+ABANDONED_AFTER = 7 * DAY
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +53,16 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = (), op
     return version
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def entries(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names in a folder, each with the time (seconds) it was last changed; none where there is no folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(target):
+        return {}
+    return {status.getPath().getName(): status.getModificationTime() / 1000 for status in filesystem.listStatus(target)}
+
+
+def delete(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return filesystem.exists(target) and filesystem.delete(target, True)
@@ -59,7 +73,7 @@ def _next_sequence(spark: SparkSession, path: str) -> int:
     taken = _commits(spark, path).agg(F.max("sequence")).first()[0] if exists(spark, f"{path}/{COMMITS}") else None
     sequence = 1 if taken is None else taken + 1
     while True:
-        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_claims/{sequence}")
+        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{CLAIMS}/{sequence}")
         if claim.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(claim):
             return sequence
         sequence += 1
@@ -88,22 +102,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     For results that several later steps read: they scan only the columns they
     need instead of recomputing the input, and a lost executor costs no more
-    than re-reading files.
+    than re-reading files. Tables staged longer than ``ABANDONED_AFTER`` ago are removed.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{STAGED}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    remove_staged(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """As ``stage``, but the written table is removed at the end of the block."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{STAGED}/{name}-{uuid.uuid4().hex}"
     try:
         df.write.parquet(path)
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> DataFrame:
@@ -113,21 +128,69 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), options:
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
-def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete published versions older than the newest ``keep``; returns their names.
+@contextmanager
+def reading(spark: SparkSession, path: str, seconds: float = DAY) -> Iterator[DataFrame]:
+    """The current version, under a lease: ``collect_garbage`` leaves it until the block ends or ``seconds`` have passed.
 
-    Versions that were never committed are left alone, as a writer may still
-    be working on them.
+    A reader that dies leaves a lease that runs out by itself.
+    """
+    folder = current_folder(spark, path)
+    version = folder.rsplit("/", 1)[1]
+    lease = f"{path}/{LEASES}/{version}.{int(time.time() + seconds)}.{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(lease)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(target)
+    try:
+        yield spark.read.parquet(folder)
+    finally:
+        delete(spark, lease)
+
+
+def _leased(spark: SparkSession, path: str) -> set[str]:
+    """Versions under a lease; leases that ran out are removed."""
+    held = set()
+    for name in entries(spark, f"{path}/{LEASES}"):
+        version, until, _ = name.split(".")
+        if float(until) >= time.time():
+            held.add(version)
+        else:
+            delete(spark, f"{path}/{LEASES}/{name}")
+    return held
+
+
+def collect_garbage(
+    spark: SparkSession, path: str, keep: int = 2, min_age: float = DAY, abandoned_after: float = ABANDONED_AFTER
+) -> list[str]:
+    """Remove the versions nobody needs any more; returns their names.
+
+    A version goes when it is not among the newest ``keep``, was superseded
+    at least ``min_age`` seconds ago and no reader holds a lease on it. Readers
+    without a lease have ``min_age`` to finish. A folder that was never committed, as
+    its write or its expectations failed, goes ``abandoned_after`` seconds after its last change.
     """
     if keep < 1:
         raise ValueError("the current version must be kept")
-    newest = _commits(spark, path).orderBy(F.desc("sequence"))
-    versions = [row["version"] for row in newest.collect()]
-    removed = []
-    for version in versions[keep:]:
-        if _delete(spark, f"{path}/{version}"):
-            removed.append(version)
-    return removed
+    now = time.time()
+    # Folders first: one committed meanwhile is then among the commits.
+    folders = {name: at for name, at in entries(spark, path).items() if name.startswith("version-")}
+    commits = _commits(spark, path).orderBy(F.desc("sequence")).collect() if exists(spark, f"{path}/{COMMITS}") else []
+    claimed = entries(spark, f"{path}/{CLAIMS}")
+    leased = _leased(spark, path)
+    old = [
+        row["version"]
+        for newer, row in zip(commits[keep - 1 :], commits[keep:])
+        # A version is superseded when the commit after it is claimed.
+        if row["version"] in folders and row["version"] not in leased and now - claimed.get(str(newer["sequence"]), now) >= min_age
+    ]
+    committed = {row["version"] for row in commits}
+    abandoned = [name for name, at in folders.items() if name not in committed and now - at >= abandoned_after]
+    return [name for name in [*old, *sorted(abandoned)] if delete(spark, f"{path}/{name}")]
+
+
+def remove_staged(spark: SparkSession, min_age: float = ABANDONED_AFTER) -> list[str]:
+    """Remove the staged tables written at least ``min_age`` seconds ago; returns their names."""
+    folder, now = f"{shared_folder(spark)}/{STAGED}", time.time()
+    old = sorted(name for name, at in entries(spark, folder).items() if now - at >= min_age)
+    return [name for name in old if delete(spark, f"{folder}/{name}")]
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
@@ -165,7 +228,7 @@ def publish(df: DataFrame, observation: Observation, rules, table: str, path: st
     counts = observation.get
     failed = expect.failed_rules(counts, rules)
     if failed:
-        _delete(df.sparkSession, f"{path}/{version}")
+        delete(df.sparkSession, f"{path}/{version}")
         raise expect.ExpectationFailed(table, failed)
     commit(df.sparkSession, path, version)
     return counts

@@ -79,16 +79,16 @@ def widen_schema(known: T.StructType, seen: T.StructType) -> T.StructType:
     """``known`` plus the columns only ``seen`` has.
 
     A running stream has a fixed schema: when new columns arrive, restart it on
-    the same checkpoint with the widened schema and read Bronze with
-    ``read_bronze``, which merges the file schemas.
+    the same checkpoint with the widened schema, or let ``schema_log`` notice them.
     """
     names = set(known.names)
     added = [T.StructField(f.name, f.dataType, True) for f in seen.fields if f.name not in names]
     return T.StructType([*known.fields, *added])
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Bronze with the schema of its stream, so no footer is opened to learn one; absent columns are NULL."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def latest_by_key(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:

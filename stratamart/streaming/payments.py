@@ -19,7 +19,7 @@ LOADED, QUARANTINE, SUMMARY, KNOWN = "loaded", "quarantine", "summary", "known"
 BASE = "base"
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id a checkpoint gives its query: stable over restarts, new with a new checkpoint."""
     text = spark.read.text(f"{checkpoint}/metadata").first()[0]
     return json.loads(text)["id"]
@@ -91,7 +91,7 @@ def stream_payments(mapped: DataFrame, base: DataFrame, path: str, checkpoint: s
     """Load a stream of mapped payments, then stop when the input is used up."""
     spark = base.sparkSession
     query = (
-        mapped.writeStream.foreachBatch(upsert_batch(base, path, lambda: _query_id(spark, checkpoint)))
+        mapped.writeStream.foreachBatch(upsert_batch(base, path, lambda: query_id(spark, checkpoint)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -128,7 +128,7 @@ def apply_stream(
     spark = df.sparkSession
 
     def enforce(batch: DataFrame, batch_id: int) -> None:
-        own = f"{RUN}={_query_id(spark, checkpoint)}/{BATCH}={batch_id}"
+        own = f"{RUN}={query_id(spark, checkpoint)}/{BATCH}={batch_id}"
         with sinks.staged(batch, "expectation_batch") as rows:
             violated = [F.count_if(~rule.holds).alias(rule.name) for rule in rules]
             with sinks.staged(rows.agg(F.count("*").alias("input_records"), *violated), "expectation_counts") as counts:

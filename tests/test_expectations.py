@@ -96,15 +96,6 @@ def test_create_if_absent_and_replace(spark, rows, tmp_path):
     assert rows(by_part, "id", "part") == [(0, 0), (1, 1)]
 
 
-def test_old_versions_are_removed(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for n in (1, 2, 3):
-        sinks.replace(spark.range(n), path)
-    assert len(sinks.remove_old_versions(spark, path, keep=2)) == 1
-    assert sinks.remove_old_versions(spark, path, keep=2) == []
-    assert sinks.read(spark, path).count() == 3
-
-
 def test_warn_keeps_rows(spark):
     df = spark.createDataFrame([(1, 1.0, 1.0, False)], "product_id int, price double, sell_price double, is_active boolean")
     kept, observation = expect.apply(df, "product_silver", expect.PRODUCT_RULES)

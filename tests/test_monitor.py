@@ -80,6 +80,43 @@ def test_latest_run_health(spark):
         assert (row["update_id"], row["tables_updated"], row["total_rows_processed"], row["health_status"]) == ("a", 1, 7, health)
 
 
+def test_windows_open_their_own_dates_only(spark, rows, tmp_path):
+    """Files of dates outside a window are no Parquet at all, so reading one would fail."""
+    path = str(tmp_path / "log")
+    day = timedelta(days=1)
+    late = T0 + timedelta(hours=12, minutes=30)  # half past midnight
+    entries = [
+        *(run(f"r{i}", T0 - i * day, 10) for i in range(30)),
+        *(flow(f"r{i}", T0 - i * day, "x_bronze", 10, ("r", 1, 99)) for i in range(30)),
+        run("night", late - timedelta(hours=1), 60),
+        (*flow("night", late, "x_bronze", 100, ("rule", 95, 5))[:4], late - timedelta(hours=1), *flow("night", late, "x_bronze", 100, ("rule", 95, 5))[5:]),
+        (*flow("night", late - timedelta(minutes=50), "x_silver", 80, ("early", 1, 0))[:4], late - timedelta(hours=1),
+         *flow("night", late - timedelta(minutes=50), "x_silver", 80, ("early", 1, 0))[5:]),
+    ]
+    whole = log(spark, *entries)
+    monitor.record_run(whole, path)
+    now = F.lit(str(late + timedelta(minutes=20))).cast("timestamp_ntz")
+    forms = [
+        lambda source: monitor.run_history(source, now),
+        lambda source: monitor.expectation_summary(source, now),
+        lambda source: monitor.row_count_deltas(source, now),
+        lambda source: monitor.failed_runs(source, now),
+    ]
+    expected = [rows(form(whole)) for form in forms]
+    assert [row["expectation_name"] for row in forms[1](whole).collect()] in (["rule", "early"], ["early", "rule"])
+    dated = monitor.read_log(spark, path)
+    assert rows(monitor.latest_run(dated)) == rows(monitor.latest_run(whole))
+    assert rows(monitor.duration_anomaly(dated, now)) == rows(monitor.duration_anomaly(whole, now))
+    for folder in (tmp_path / "log").glob("log_date=*"):
+        if folder.name < "log_date=2024-01-10":
+            for file in folder.glob("*.parquet"):
+                file.write_text("not read")
+    (tmp_path / "log").joinpath("_SUCCESS").unlink()
+    for file in (tmp_path / "log").glob("log_date=*/.*.crc"):
+        file.unlink()
+    assert [rows(form(monitor.read_log(spark, path))) for form in forms] == expected
+
+
 def test_alert_limits(spark, rows):
     metrics = spark.createDataFrame(
         [("duration_minutes", "at", 30.0), ("duration_minutes", "over", 30.1), ("duration_minutes", "far", 60.1),

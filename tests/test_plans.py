@@ -16,7 +16,7 @@ from verification.registry import REGISTRY, Tables
 
 FOLDER = "/root/testdata/sf0.001"
 # These run jobs while being built; their plans only read the result back.
-EAGER = re.compile(r"^(s[1-8]_|k\d|i[3468]_|q4|m10|st[1-6]_)")
+EAGER = re.compile(r"^(s[1-8]_|k\d|i[3468]_|q4|m10|m[24]_dated|st[1-6]_|st7_latest_stream)")
 
 
 @contextmanager

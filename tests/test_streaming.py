@@ -5,7 +5,7 @@ import pytest
 from stratamart.operators import expectations as expect
 from stratamart.operators import ingest
 from stratamart.sources import payment_export
-from stratamart.streaming import bronze, payments
+from stratamart.streaming import bronze, keyed, payments, schema_log
 
 
 def export(*ids, start=0, **fields):
@@ -94,7 +94,7 @@ def test_only_new_files_are_ingested(spark, tmp_path):
 
     def ingest_now():
         bronze.run_available_now(bronze.bronze_stream(spark, source, "id bigint"), target, checkpoint)
-        return bronze.read_bronze(spark, target).count()
+        return bronze.read_bronze(spark, target, "id bigint").count()
 
     spark.range(5).write.parquet(source)
     assert [ingest_now(), ingest_now()] == [5, 5]
@@ -111,7 +111,7 @@ def test_new_columns_after_restart(spark, rows, tmp_path):
     widened = bronze.widen_schema(old.schema, new.schema)
     assert widened.names == ["id", "extra"] and bronze.widen_schema(widened, old.schema) == widened
     bronze.run_available_now(bronze.bronze_stream(spark, source, widened), target, checkpoint)
-    assert rows(bronze.read_bronze(spark, target)) == [(0, None), (1, "x")]
+    assert rows(bronze.read_bronze(spark, target, widened)) == [(0, None), (1, "x")]
 
 
 def test_csv_source_and_continuous_mode(spark, tmp_path):
@@ -124,7 +124,7 @@ def test_csv_source_and_continuous_mode(spark, tmp_path):
         assert query.isActive
     finally:
         query.stop()
-    assert bronze.read_bronze(spark, target).count() == 4
+    assert bronze.read_bronze(spark, target, "id bigint").count() == 4
 
 
 def test_latest_by_key(spark, rows):
@@ -138,3 +138,98 @@ def test_latest_by_key(spark, rows):
 
 def test_ten_tables_are_known():
     assert len(bronze.BRONZE_TABLES) == 10
+
+
+def test_new_columns_are_noticed(spark, rows, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    log = schema_log.SchemaLog(spark, str(tmp_path / "log"))
+
+    def land_and_ingest(df, **options):
+        df.coalesce(1).write.mode("append").parquet(landing)
+        schema_log.ingest_evolving(spark, landing, log, target, checkpoint, **options)
+        return rows(schema_log.read_evolved(spark, log, target))
+
+    assert land_and_ingest(spark.range(1)) == [(0,)]
+    # A file with two new columns and, in another batch, one without any.
+    spark.range(1, 2).selectExpr("'x' AS extra", "id", "2.5D AS `a.b`").coalesce(1).write.mode("append").parquet(landing)
+    wider = land_and_ingest(spark.range(2, 3), max_files=1)
+    assert wider == sorted([(0, None, None), (1, "x", 2.5), (2, None, None)], key=repr)
+    assert rows(log.history(), "version", "added") == [(1, ["id"]), (2, ["extra", "a.b"])]
+    # Nothing new: no row is added, no version either.
+    schema_log.ingest_evolving(spark, landing, log, target, checkpoint)
+    assert rows(schema_log.read_evolved(spark, log, target)) == wider and log.current()[0] == 2
+    # Another spelling is the same column; an empty file does no harm.
+    assert len(land_and_ingest(spark.range(3, 4).withColumnRenamed("id", "ID"))) == 4
+    assert len(land_and_ingest(spark.range(0).selectExpr("id", "'y' AS extra"))) == 4
+    assert log.current()[0] == 2
+
+
+def test_changed_type_stops_the_ingest(spark, rows, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    log = schema_log.SchemaLog(spark, str(tmp_path / "log"))
+    spark.range(1).write.parquet(landing)
+    schema_log.ingest_evolving(spark, landing, log, target, checkpoint)
+    spark.range(1).selectExpr("CAST(id AS STRING) AS id", "1 AS more").write.mode("append").parquet(landing)
+    with pytest.raises(Exception, match="id: bigint became string"):
+        schema_log.ingest_evolving(spark, landing, log, target, checkpoint)
+    assert rows(schema_log.read_evolved(spark, log, target)) == [(0,)] and log.current()[0] == 1
+
+
+def test_evolved_bronze_is_read_without_footers(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / name) for name in ("in 1% +x", "out", "cp"))
+    log = schema_log.SchemaLog(spark, str(tmp_path / "log"))
+    spark.range(3).write.parquet(landing)
+    schema_log.ingest_evolving(spark, landing, log, target, checkpoint)
+    (tmp_path / "out" / "broken.parquet").write_text("no footer here")
+    assert schema_log.read_evolved(spark, log, target).schema.names == ["id"]
+    with pytest.raises(Exception):
+        spark.read.option("mergeSchema", True).parquet(target)
+    (tmp_path / "out" / "broken.parquet").unlink()
+    assert schema_log.read_evolved(spark, log, target).count() == 3
+
+
+CHANGES = "k int, seq int, v string"
+
+
+def test_latest_stream_equals_the_batch_form(spark, rows, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    batches = [
+        [(1, 5, "a"), (2, 1, None), (None, 1, "n"), (3, None, "x")],
+        [(1, 4, "late"), (2, 2, "b"), (4, 1, "new"), (3, 0, "y")],
+        [(1, 5, "b"), (1, 5, "a"), (2, 0, "late"), (None, 2, "m"), (2, 2, "b")],
+    ]
+    seen = []
+    for batch in batches:
+        spark.createDataFrame(batch, CHANGES).coalesce(1).write.mode("append").parquet(source)
+        # A new session of the stream each time: the state comes from the checkpoint.
+        feed = bronze.bronze_stream(spark, source, CHANGES)
+        table = keyed.KeyedTable(spark, str(tmp_path / "out"), feed.schema, ["k"], 8)
+        keyed.stream_latest(feed, table, "seq", checkpoint)
+        seen += batch
+        assert rows(table.read()) == rows(bronze.latest_by_key(spark.createDataFrame(seen, CHANGES), ["k"], "seq"))
+    feed = bronze.bronze_stream(spark, source, CHANGES, max_files=1)
+    keyed.stream_latest(feed, table, "seq", str(tmp_path / "other"))
+    assert rows(table.read()) == rows(bronze.latest_by_key(spark.createDataFrame(seen, CHANGES), ["k"], "seq"))
+
+
+def test_keyed_merge_writes_touched_buckets_and_is_idempotent(spark, rows, tmp_path):
+    schema = spark.createDataFrame([], CHANGES).schema
+    table = keyed.KeyedTable(spark, str(tmp_path / "out"), schema, ["k"], 16)
+    assert table.read().count() == 0 and table.merge(spark.createDataFrame([], schema), "seq") == []
+    table.merge(spark.createDataFrame([(i, 1, "a") for i in range(200)], CHANGES), "seq")
+    before = table._manifest()
+    change = spark.createDataFrame([(7, 2, "b"), (7, 0, "late")], CHANGES)
+    (bucket,) = table.merge(change, "seq")
+    after = table._manifest()
+    assert [b for b in before if before[b] != after[b]] == [bucket] and len(after) == 16
+    once = rows(table.read())
+    table.merge(change, "seq")
+    assert rows(table.read()) == once and len(once) == 200 and (7, 2, "b") in once
+    assert table.collect_garbage() == []
+    # The newest manifest names the first folder (15 buckets) and the last; the one between goes.
+    assert len(table.collect_garbage(keep=1, min_age=0, abandoned_after=0)) == 1
+    assert rows(table.read()) == once
+
+
+def test_paths_are_taken_literally():
+    assert schema_log._literal_path("file:/a%20b/50%25/k=%5B1%5D/*.parquet") == "file:/a b/50%/k=\\[1\\]/\\*.parquet"

@@ -810,6 +810,8 @@ ORACLES = {
 
 for _run, _same in (("pg", "g1_product_revenue_pg"), ("notebook", "g2_product_revenue_notebook"), ("bundle", "g4_product_profit_bundle")):
     ORACLES[f"m10_run_{_run}"] = ORACLES[_same]
+for _name, _same in (("st7_latest_stream", "st7_latest_by_key"), ("m2_dated_log", "m2_expectation_summary"), ("m4_dated_log", "m4_latest_run")):
+    ORACLES[_name] = ORACLES[_same]
 
 
 def _needed(text: str, found: dict[str, None]) -> None:

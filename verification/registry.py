@@ -20,7 +20,8 @@ from stratamart.plans.variants import BUNDLE, DECLARATIVE, NOTEBOOK, PG
 from stratamart.session import configure, shared_folder
 from stratamart.sources import csv, payment_export, semi_structured, sinks
 from stratamart.sources.known_ids import KnownIds
-from stratamart.streaming import bronze, payments as payment_stream
+from stratamart.streaming import bronze, payments as payment_stream, schema_log
+from stratamart.streaming.keyed import KeyedTable, stream_latest
 from verification.fixtures import Sources
 
 
@@ -229,7 +230,7 @@ def s7_bronze_stream(t):
     """The orders file ingested as a stream."""
     path = t.scratch("orders_bronze")
     bronze.run_available_now(_orders_stream(t), path, t.scratch("checkpoint"))
-    return bronze.read_bronze(t.spark, path)
+    return bronze.read_bronze(t.spark, path, t.raw("orders").schema)
 
 
 @query
@@ -240,7 +241,7 @@ def s8_table_stream(t):
     t.order_item().write.option("path", t.scratch("order_item")).saveAsTable(name)
     bronze.run_available_now(bronze.table_stream(t.spark, name), path, t.scratch("checkpoint"))
     t.spark.sql(f"DROP TABLE {name}")
-    return bronze.read_bronze(t.spark, path)
+    return bronze.read_bronze(t.spark, path, t.order_item().schema)
 
 
 @query
@@ -278,7 +279,7 @@ def k3_append_new_files_only(t):
     path, checkpoint = t.scratch("orders_bronze"), t.scratch("checkpoint")
     bronze.run_available_now(_orders_stream(t), path, checkpoint)
     bronze.run_available_now(_orders_stream(t), path, checkpoint)
-    return bronze.read_bronze(t.spark, path).groupBy("o_orderstatus").agg(F.count("*").alias("row_count"))
+    return bronze.read_bronze(t.spark, path, t.raw("orders").schema).groupBy("o_orderstatus").agg(F.count("*").alias("row_count"))
 
 
 @query
@@ -1038,6 +1039,25 @@ def m10_record_run(t):
     )
 
 
+def _dated_log(t) -> DataFrame:
+    """The run log as appended to a folder by date."""
+    path = t.scratch("run_log")
+    monitor.record_run(t.run_log(), path)
+    return monitor.read_log(t.spark, path)
+
+
+@query
+def m2_dated_log(t):
+    """Pass rates of the latest run, from the dates it was logged under."""
+    return monitor.expectation_summary(_dated_log(t), t.as_of())
+
+
+@query
+def m4_dated_log(t):
+    """The latest run, from its own date."""
+    return monitor.latest_run(_dated_log(t))
+
+
 def _full_run(t, variant, bronze, name) -> DataFrame:
     """A full run of one form, its log read for success, and one of its published tables."""
     log_path = t.scratch("run_log")
@@ -1075,21 +1095,19 @@ def st1_bronze_ingest(t):
         df.write.parquet(f"{landing}/{name}")
     schemas = {name: df.schema for name, df in tables.items()}
     bronze.ingest_all(t.spark, schemas, landing, target, t.scratch("checkpoints"))
-    written = {f"{name}_bronze": bronze.read_bronze(t.spark, f"{target}/{name}_bronze") for name in tables}
+    written = {f"{name}_bronze": bronze.read_bronze(t.spark, f"{target}/{name}_bronze", schemas[name]) for name in tables}
     return quality.table_row_counts(written)
 
 
 @query
 def st2_schema_evolution(t):
-    """Orders arrive without currency, then with it: the stream restarts with the wider schema."""
+    """Orders arrive without currency, then with it: the ingest notices the column by itself."""
     landing, target, checkpoint = t.scratch("landing"), t.scratch("orders_bronze"), t.scratch("checkpoint")
-    narrow, wide = t.orders().drop("currency"), t.orders()
-    narrow.write.mode("append").parquet(landing)
-    bronze.run_available_now(bronze.bronze_stream(t.spark, landing, narrow.schema), target, checkpoint)
-    wide.write.mode("append").parquet(landing)
-    widened = bronze.widen_schema(narrow.schema, wide.schema)
-    bronze.run_available_now(bronze.bronze_stream(t.spark, landing, widened), target, checkpoint)
-    return bronze.read_bronze(t.spark, target).groupBy("currency").agg(
+    log = schema_log.SchemaLog(t.spark, t.scratch("orders_schema"))
+    for arriving in (t.orders().drop("currency"), t.orders()):
+        arriving.write.mode("append").parquet(landing)
+        schema_log.ingest_evolving(t.spark, landing, log, target, checkpoint)
+    return schema_log.read_evolved(t.spark, log, target).groupBy("currency").agg(
         F.count("*").alias("row_count"), F.sum("total_amount").alias("total_amount")
     )
 
@@ -1103,7 +1121,7 @@ def st4_gold_after_trigger(t):
         df.write.parquet(f"{landing}/{name}")
     schemas = {name: df.schema for name, df in tables.items()}
     bronze.ingest_all(t.spark, schemas, landing, target, t.scratch("checkpoints"))
-    orders, items = (bronze.read_bronze(t.spark, f"{target}/{name}_bronze") for name in tables)
+    orders, items = (bronze.read_bronze(t.spark, f"{target}/{name}_bronze", schemas[name]) for name in tables)
     totals = direct.order_totals(orders, items, variant=PG)
     return gold.sales_region_from_totals(totals, t.customer_silver(PG), PG, keyed=True)
 
@@ -1155,7 +1173,7 @@ def st6_continuous_ingest(t):
     running = bronze.start_continuous(_orders_stream(t), path, t.scratch("checkpoint"), "1 second")
     running.processAllAvailable()
     running.stop()
-    return bronze.read_bronze(t.spark, path)
+    return bronze.read_bronze(t.spark, path, t.raw("orders").schema)
 
 
 @query
@@ -1163,3 +1181,16 @@ def st7_latest_by_key(t):
     """The newest event of every user, from the event feed as a change log."""
     feed = t.raw("events").select("user_id", "ts", "event_id", "event_type", "value")
     return bronze.latest_by_key(feed, ["user_id"], "ts")
+
+
+@query
+def st7_latest_stream(t):
+    """The same feed as a stream of three batches with late versions: state per user, upserts into buckets."""
+    feed = t.raw("events").select("user_id", "ts", "event_id", "event_type", "value")
+    source = t.scratch("changes")
+    # Newest first, so that later batches bring late versions.
+    feed.repartitionByRange(3, F.desc("ts"), F.desc("event_id")).write.parquet(source)
+    stream = bronze.bronze_stream(t.spark, source, feed.schema, max_files=1)
+    table = KeyedTable(t.spark, t.scratch("latest"), feed.schema, ["user_id"], 16)
+    stream_latest(stream, table, "ts", t.scratch("checkpoint"))
+    return table.read()
