@@ -195,3 +195,34 @@ def test_licences(spark, documents, no_documents):
     assert licences.scan(df, known).count() == 7 and licences.scan(no_documents, known).count() == 0
     plan = licences.scan(df, known)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_notices_of_any_words_are_found(spark):
+    """Known texts without the usual words, and texts that only a respelling makes equal."""
+    known = spark.createDataFrame(
+        [("A", "Free for all"), ("B", "sublicense"), ("C", "https"), ("D", "The favor of copyright holder"), ("E", "  ,"), ("F", None), ("G", "f\u00fcr alle")],
+        "licence string, text string",
+    )
+    lines = ["FREE, for: all!", "sub licence", "Sub-License", "http", "the FAVOUR of copyright  owner", "free for all of us", "F\u00fcr alle", "", "none of it"]
+    df = spark.createDataFrame([doc(1, "\n".join(lines)), doc(2, None), doc(3, ""), doc(4, "HTTP")], DOCS)
+    got = {row.doc_id: (row.licence, row.n_notices, row.notices) for row in licences.scan(df, known).collect()}
+    assert got == {1: (None, 6, "A,B,C,D,G"), 2: (None, 0, ""), 3: (None, 0, ""), 4: ("C", 1, "C")}
+    assert licences.scan(df, known.where("false")).agg({"n_notices": "sum"}).first()[0] == 0
+
+
+def test_telling_words_lose_no_line(spark, monkeypatch):
+    known = spark.createDataFrame(list(licences.KNOWN), "licence string, text string")
+    assert licences.telling_words(known) is not None
+    text = "\n".join(["x " * 3, *(t for _, t in licences.KNOWN), *(t.lower().replace("license", "licence") for _, t in licences.KNOWN)])
+    df = spark.createDataFrame([doc(1, text)], DOCS)
+    chosen = licences.scan(df, known).collect()
+    monkeypatch.setattr(licences, "WORDS_BYTES", 0)
+    assert licences.telling_words(known) is None and licences.scan(df, known).collect() == chosen
+    assert chosen[0].n_notices == 2 * len(licences.KNOWN)
+
+
+def test_whole_texts_of_permissive_licences(spark):
+    rows = [doc(i, "Copyright (c) 1999, Some Body\n" + text) for i, (_, text) in enumerate(licences.KNOWN)]
+    known = spark.createDataFrame(list(licences.KNOWN), "licence string, text string")
+    got = {row.doc_id: row.licence for row in licences.scan(spark.createDataFrame(rows, DOCS), known).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(licences.KNOWN)}
