@@ -100,6 +100,7 @@ SPELLINGS = (
 _COPYRIGHT = r"(^|\n)[^a-z0-9\n]*(copyright [0-9(]|copyright \x{A9}|\(c\)|\x{A9}|all rights reserved)[^\n]*"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}\x{AB}\x{BB}\x{2010}-\x{201F}\x{2022}\x{2026}\x{3000}]+"
 WORDS_BYTES = 64 << 20
+_LONG = 7
 
 
 def canonical(text: Column) -> Column:
@@ -141,8 +142,8 @@ def telling_words(known: DataFrame) -> list[str] | None:
     left, chosen = [row.form for row in forms.collect()], set()
     words = {word for form in left for word in form.split(" ")}
     while left:
-        # The word most texts have; of those the longest, which the fewest other lines have.
-        best = max(words, key=lambda w: (sum(w in form for form in left), len(w), w))
+        # Of words long enough to be rare in other lines, the one most texts have.
+        best = max(words, key=lambda w: (min(len(w), _LONG), sum(w in form for form in left), len(w), w))
         chosen |= _raw_forms(best)
         left = [form for form in left if best not in form]
         words = {word for form in left for word in form.split(" ")}
