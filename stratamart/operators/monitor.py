@@ -301,9 +301,13 @@ def run_entries(
 
 
 def record_run(entries: DataFrame, path: str) -> None:
-    """Append one run's entries to the log table, under their dates."""
+    """Append one run's entries to the log table, under their dates.
+
+    The entries are dealt out by date and sized by what they hold: those of one run are one file a
+    date, and a date with many entries is written by several tasks, each of which sorts its share only.
+    """
     dated = entries.withColumn(DATE, F.to_date("timestamp"))
-    dated.coalesce(1).write.mode("append").partitionBy(DATE).parquet(path)
+    dated.hint("rebalance", DATE).write.mode("append").partitionBy(DATE).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -117,6 +117,30 @@ def test_windows_open_their_own_dates_only(spark, rows, tmp_path):
     assert [rows(form(monitor.read_log(spark, path))) for form in forms] == expected
 
 
+def test_a_large_log_is_written_by_several_tasks(spark, tmp_path):
+    """One run is one file a date; a date with many entries does not go through a single task."""
+    folder = lambda path, date: list((path / f"log_date={date}").glob("*.parquet"))
+    monitor.record_run(log(spark, run("a", T0, 10), *(flow("a", T0, f"t{i}", i) for i in range(40))), str(tmp_path / "small"))
+    assert len(folder(tmp_path / "small", "2024-01-10")) == 1
+
+    entries = spark.range(0, 60_000, 1, 6).selectExpr(
+        "concat('u', sha2(string(id), 256)) AS update_id", "'flow_progress' AS event_type",
+        "timestamp_ntz'2024-01-10 12:00:00' + make_dt_interval(if(id % 50 = 0, 1, 0)) AS timestamp",
+        "string(null) AS state", "cast(null AS timestamp_ntz) AS start_time", "cast(null AS timestamp_ntz) AS end_time", "string(null) AS cause",
+        "string(null) AS error_message", "struct('t' AS dataset) AS origin", "id AS num_output_rows",
+    ).withColumn("expectations", F.lit(None).cast(log(spark).schema["expectations"].dataType))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "512k")
+    try:
+        monitor.record_run(entries, str(tmp_path / "large"))
+    finally:
+        spark.conf.set(size, before)
+    assert len(folder(tmp_path / "large", "2024-01-10")) > 1 and len(folder(tmp_path / "large", "2024-01-11")) == 1
+    written = monitor.read_log(spark, str(tmp_path / "large"))
+    assert written.count() == 60_000 and written.select(*entries.columns).exceptAll(entries).isEmpty()
+
+
 def test_alert_limits(spark, rows):
     metrics = spark.createDataFrame(
         [("duration_minutes", "at", 30.0), ("duration_minutes", "over", 30.1), ("duration_minutes", "far", 60.1),
