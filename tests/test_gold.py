@@ -9,6 +9,7 @@ from stratamart.functions.geography import COUNTRY_NAMES, map_region
 from stratamart.operators import analysis, gold, silver
 from stratamart.plans import direct
 from stratamart.plans.variants import DECLARATIVE, NOTEBOOK, PG
+from stratamart.session import configure
 from verification.registry import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -167,3 +168,16 @@ def test_discount_average_ignores_unconverted_lines(spark, rows):
     )
     got = {r[0]: (float(r[1]), r[2], r[3]) for r in analysis.discount_effect(lines).collect()}
     assert got == {"Not Discounted": (4.0, 2, 4.0), "Discounted": (6.0, 1, 6.0)}
+
+
+def test_a_task_joins_few_megabytes(spark):
+    """The sorts and hash maps of a task follow its shuffled rows, so a larger input makes more tasks, not larger ones."""
+    number = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(number)
+    spark.conf.set(number, "64")
+    try:
+        rows = spark.range(0, 1_500_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        # 8 cores; some 110 MB shuffled, which the default of 64 MB a task leaves to 8 or 9 tasks.
+        assert configure(spark) and rows.repartition("id").rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set(number, before)
