@@ -25,7 +25,13 @@ def parse_payments(raw: DataFrame, keep_raw: bool = True) -> DataFrame:
     The keys tell an absent field, which has a default, from an explicit null,
     which is an error. A value of the wrong type is NULL and leaves the other
     fields intact.
+
+    A stream is spread before it is parsed: a micro-batch is often a single file of
+    one row group, which one task would parse alone.
     """
+    if raw.isStreaming:
+        # By position too, where there is one, so that a much-repeated text does not fill one task.
+        raw = raw.repartition(*[name for name in ("raw", "position") if name in raw.columns])
     others = [name for name in raw.columns if name != "raw"]
     parsed = raw.select(
         *others,

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratamart.operators import expectations as expect
 from stratamart.operators import ingest
@@ -73,6 +74,26 @@ def test_replayed_batch_writes_the_same_rows(spark, rows, tmp_path):
     assert [row[0] for row in once] == [11, 12, 13]
 
 
+@pytest.mark.parametrize("columns", [["position", "raw"], ["raw"]])
+def test_a_file_of_one_row_group_is_parsed_by_several_tasks(spark, tmp_path, columns):
+    source, held = str(tmp_path / "in"), []
+    # With positions, one text over and over.
+    land(spark, export(*(["a"] * 2_000 if "position" in columns else map(str, range(2_000)))), source)
+    stream = payment_export.parse_payments(bronze.bronze_stream(spark, source, RAW).select(*columns))
+
+    def count(batch, _):
+        held.extend(row["count"] for row in batch.groupBy(F.spark_partition_id()).count().collect())
+
+    # So few rows would be put together again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        query = stream.writeStream.foreachBatch(count).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(held) == 2_000 and max(held) < 1_000
+
+
 def test_stream_expectations_drop_and_fail(spark, rows, tmp_path):
     source, target, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
     schema = "order_id int, quantity int"
